@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key with more rows than this on the large side is joined in several parts.
+# Below this many rows a key is never split, however small the table is.
 ROWS_PER_PART = 2_000_000
-# Upper bound of the broadcast list of such keys. The list keeps the largest ones, so a key
-# outside it has at most ROWS_PER_PART rows or less than 1/MAX_HOT_KEYS of the table; it is
-# joined as one part.
-MAX_HOT_KEYS = 10_000
+# Hash buckets in which rows are counted before single keys are.
+BUCKETS = 65_536
+# A key is hot if it alone is this many times the size of an average bucket.
+HOT_FACTOR = 4
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -20,20 +20,32 @@ def fits_broadcast(df: DataFrame) -> bool:
     return size <= threshold
 
 
-def hot_keys(
-    rows: DataFrame, key: str, rows_per_part: int = ROWS_PER_PART, limit: int = MAX_HOT_KEYS
-) -> DataFrame:
-    """(key, parts) of the keys with more than ``rows_per_part`` rows, at most ``limit`` of them.
+def hot_keys(rows: DataFrame, key: str, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+    """(key, _parts) of the keys that hold too many rows for one task.
+
+    Too many means more than ``rows_per_part`` and more than HOT_FACTOR average buckets. As each
+    such key holds more than HOT_FACTOR / BUCKETS of the table, there are fewer than
+    BUCKETS / HOT_FACTOR of them, whatever the table holds: the list can be broadcast.
 
-    The counts are exact and pre-aggregated before the shuffle. Exactness matters: both sides of
-    the join derive their parts from this list, also when a lost executor makes Spark redo it.
+    Counting every key would shuffle nearly the whole key column. A hot key makes its bucket hot,
+    so rows are first counted by bucket (a task sends at most BUCKETS rows), and by key only in
+    hot buckets. The counts are exact: both sides of a join derive their parts from this list,
+    also when a lost executor makes Spark compute it again.
     """
-    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+    keyed = rows.where(F.col(key).isNotNull()).select(
+        key, F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int").alias("_bucket")
+    )
+    sizes = keyed.groupBy("_bucket").agg(F.count("*").alias("_n"))
+    average = F.sum("_n").over(Window.partitionBy()) / BUCKETS  # over at most BUCKETS rows
+    hot_buckets = sizes.select(
+        "_bucket", "_n", F.greatest(F.lit(rows_per_part), F.ceil(average * HOT_FACTOR)).alias("_most")
+    ).where(F.col("_n") > F.col("_most"))
     return (
-        counts.where(F.col("n") > rows_per_part)
-        .orderBy(F.col("n").desc(), key)
-        .limit(limit)
-        .select(key, F.ceil(F.col("n") / rows_per_part).cast("int").alias("parts"))
+        keyed.join(F.broadcast(hot_buckets.drop("_n")), "_bucket")
+        .groupBy(key)
+        .agg(F.count("*").alias("_n"), F.max("_most").alias("_most"))
+        .where(F.col("_n") > F.col("_most"))
+        .select(key, F.ceil(F.col("_n") / F.col("_most")).cast("int").alias("_parts"))
     )
 
 
@@ -57,19 +69,19 @@ def split_join(
     hot = F.broadcast(hot_keys(count_on if count_on is not None else large, key, rows_per_part))
     content_hash = F.xxhash64(*large.columns)
     part = (
-        F.when(F.col("parts").isNotNull(), F.pmod(content_hash, F.col("parts")))
+        F.when(F.col("_parts").isNotNull(), F.pmod(content_hash, F.col("_parts")))
         # NULL keys match nothing; spread them as well.
-        .when(F.col(key).isNull(), F.pmod(content_hash, F.lit(MAX_HOT_KEYS)))
+        .when(F.col(key).isNull(), F.pmod(content_hash, F.lit(BUCKETS)))
         .otherwise(F.lit(0))
         .cast("int")
     )
-    spread = large.join(hot, key, "left").withColumn("part", part).drop("parts")
+    spread = large.join(hot, key, "left").withColumn("_part", part).drop("_parts")
     repeated = (
         lookup.join(hot, key, "left")
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
-        .drop("parts")
+        .withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)))
+        .drop("_parts")
     )
-    return spread.join(repeated, [key, "part"], how).drop("part")
+    return spread.join(repeated, [key, "_part"], how).drop("_part")
 
 
 def lookup_join(

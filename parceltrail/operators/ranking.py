@@ -17,8 +17,8 @@ def rank_by_count(df: DataFrame, measure: str, rank_col: str = "rank") -> DataFr
     greater = Window.orderBy(F.col(measure).desc()).rowsBetween(Window.unboundedPreceding, -1)
     ranks = (
         df.groupBy(measure)
-        .agg(F.count("*").alias("n"))
-        .select(measure, (F.coalesce(F.sum("n").over(greater), F.lit(0)) + 1).alias(rank_col))
+        .agg(F.count("*").alias("_n"))
+        .select(measure, (F.coalesce(F.sum("_n").over(greater), F.lit(0)) + 1).alias(rank_col))
     )
     return df.join(F.broadcast(ranks), measure)
 

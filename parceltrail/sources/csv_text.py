@@ -76,8 +76,12 @@ def read_text_csv(
     bad = F.col(_RECORD).isNotNull()
     if pad_short:
         bad = bad & _too_long(F.col(_RECORD), len(header))
+    # Spark refuses queries that need nothing but the raw record; the message needs a value too.
     message = F.format_string(
-        f"expected {len(header)} fields in %s, got: %s", F.col("source_file"), F.col(_RECORD)
+        f"expected {len(header)} fields in %s, got: %s (first value %s)",
+        F.col("source_file"),
+        F.col(_RECORD),
+        _quoted(header[0]),
     )
     checked = rows.where(F.when(bad, F.raise_error(message).cast("boolean")).otherwise(True))
     names = [c.strip() for c in header]

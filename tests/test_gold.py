@@ -1,0 +1,51 @@
+"""Calendar and dimension rules."""
+
+from datetime import datetime
+
+from parceltrail.plans import gold
+
+
+def fact_of(spark, *times):
+    rows = [(datetime.fromisoformat(t) if t else None,) for t in times]
+    return spark.createDataFrame(rows, "purchase_timestamp timestamp_ntz")
+
+
+def test_calendar_keeps_time_of_day_and_may_miss_the_last_day(spark):
+    fact = fact_of(spark, "2018-01-02 09:00:00", "2017-12-30 10:00:00", None)
+    rows = gold.dim_date(fact).orderBy("date_id").collect()
+    assert [
+        (r.date_id, str(r.full_date), r.month_name, r.quarter, r.week_of_year, r.day_of_week,
+         r.day_name, r.is_weekend)
+        for r in rows
+    ] == [
+        (20171230, "2017-12-30 10:00:00", "December ", 4, 52, 6, "Saturday ", True),
+        (20171231, "2017-12-31 10:00:00", "December ", 4, 52, 0, "Sunday   ", True),
+        (20180101, "2018-01-01 10:00:00", "January  ", 1, 1, 1, "Monday   ", False),
+    ]
+
+
+def test_calendar_at_midnight_has_no_gap(spark):
+    fact = fact_of(spark, "2018-01-02 09:00:00", "2017-12-30 10:00:00")
+    rows = gold.dim_date(fact, align_to_midnight=True).orderBy("date_id").collect()
+    assert [str(r.full_date) for r in rows] == [
+        "2017-12-30 00:00:00",
+        "2017-12-31 00:00:00",
+        "2018-01-01 00:00:00",
+        "2018-01-02 00:00:00",
+    ]
+
+
+def test_calendar_of_nothing_is_empty(spark):
+    assert gold.dim_date(fact_of(spark).limit(0)).count() == 0
+
+
+def test_calendar_bounds_are_inclusive(spark):
+    fact = fact_of(spark, "2018-01-01 10:00:00", "2018-01-03 10:00:00")
+    assert gold.dim_date(fact).count() == 3
+
+
+def test_calendar_types(spark):
+    types = dict(gold.dim_date(fact_of(spark, "2018-01-01 10:00:00")).dtypes)
+    assert types.pop("full_date") == "timestamp_ntz" and types.pop("is_weekend") == "boolean"
+    assert types.pop("month_name") == "string" and types.pop("day_name") == "string"
+    assert set(types.values()) == {"int"}

@@ -1,0 +1,131 @@
+"""Reports on a hand-made star schema."""
+
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+
+from parceltrail.plans import gold, kpi
+
+JAN_6, JAN_8 = datetime(2018, 1, 6, 10), datetime(2018, 1, 8, 9)  # a Saturday and a Monday
+
+# Order a has two items from two sellers, order b three copies of one item, order c no date.
+FACT = [
+    ("a", "p1", "s1", JAN_6, "10.00", "1.00", "11.00", 0, True),
+    ("a", "p2", "s2", JAN_6, "20.00", "2.00", "22.00", 0, True),
+    ("b", "p1", "s1", JAN_8, "10.00", "1.00", "11.00", -3, False),
+    ("b", "p1", "s1", JAN_8, "10.00", "1.00", "11.00", -3, False),
+    ("b", "p1", "s1", JAN_8, "10.00", "1.00", "11.00", -3, False),
+    ("c", "p3", "s3", JAN_6, "10.00", "4.00", "14.00", None, False),
+    ("d", "p1", "s2", JAN_6, "10.00", "1.00", "11.00", 5, True),
+]
+
+
+@pytest.fixture(params=["broadcast", "shuffle"])
+def star(spark, request):
+    if request.param == "shuffle":
+        request.getfixturevalue("shuffle_joins")
+    rows = [(*r[:4], *(Decimal(v) for v in r[4:7]), *r[7:]) for r in FACT]
+    fact = spark.createDataFrame(
+        rows,
+        "order_id string, product_id string, seller_id string, purchase_timestamp timestamp_ntz, "
+        "price decimal(10,2), freight_value decimal(10,2), total_amount decimal(11,2), "
+        "delay_days int, is_late boolean",
+    )
+    products = spark.createDataFrame(
+        [("p1", "Toys", 10), ("p2", "Toys", 5000), ("p9", "Unsold", 1)],
+        "product_id string, product_category string, product_volume_cm3 int",
+    )
+    sellers = spark.createDataFrame(
+        [("s1", "Sul"), ("s2", "Sul"), ("s3", None)], "seller_id string, region string"
+    )
+    return fact, products, sellers
+
+
+def by(df, key, *columns):
+    return {r[key]: tuple(r[c] for c in columns) for r in df.collect()}
+
+
+def test_sla_counts_orders_once(star):
+    row = kpi.sla(star[0]).first()
+    assert (row.n_orders, row.n_late, row.n_on_time, row.n_unknown) == (4, 2, 2, 1)
+    assert (row.pct_on_time, row.pct_late) == (50.0, 50.0)
+
+
+def test_sla_of_nothing_has_no_share(star):
+    row = kpi.sla(star[0].limit(0)).first()
+    assert (row.n_orders, row.pct_on_time) == (0, None)
+
+
+def test_late_by_category(star):
+    found = by(kpi.late_by_category(*star[:2]), "product_category", "n_orders", "n_late")
+    assert found == {"Toys": (3, 2), None: (1, 0)}
+
+
+def test_late_by_region(star):
+    found = by(kpi.late_by_region(star[0], star[2]), "region", "n_orders", "n_late")
+    assert found == {"Sul": (3, 2), None: (1, 0)}
+
+
+def test_late_by_seller(star):
+    found = by(kpi.late_by_seller(star[0]), "seller_id", "n_orders", "n_late", "pct_late")
+    assert found == {"s1": (2, 1, 50.0), "s2": (2, 2, 100.0), "s3": (1, 0, 0.0)}
+
+
+def test_all_breakdowns_in_one_pass(star):
+    rows = {
+        (r.breakdown, r.product_category or r.region or r.seller_id): (r.n_orders, r.n_late)
+        for r in kpi.late_by_all(*star).collect()
+    }
+    assert rows == {
+        ("category", "Toys"): (3, 2),
+        ("category", None): (1, 0),
+        ("region", "Sul"): (3, 2),
+        ("region", None): (1, 0),
+        ("seller", "s1"): (2, 1),
+        ("seller", "s2"): (2, 2),
+        ("seller", "s3"): (1, 0),
+    }
+
+
+def test_average_delay(star):
+    found = by(
+        kpi.average_delay_by_category(*star[:2]),
+        "product_category", "n_dated", "sum_delay_days", "n_late", "avg_late_days",
+    )
+    assert found == {"Toys": (3, 2, 2, 2.5), None: (0, None, 0, None)}
+    sellers = by(kpi.average_delay_by_seller(star[0]), "seller_id", "avg_delay_days")
+    assert sellers == {"s1": (-1.5,), "s2": (2.5,), "s3": (None,)}
+    regions = by(kpi.average_delay_by_region(star[0], star[2]), "region", "sum_delay_days")
+    assert regions == {"Sul": (2,), None: (None,)}
+
+
+def test_rankings(star):
+    ranks = by(kpi.seller_ranking(star[0]), "seller_id", "rank", "n_late")
+    assert ranks == {"s2": (1, 2), "s1": (2, 1), "s3": (3, 0)}
+    top = kpi.top_offenders(star[0], 1).collect()
+    assert [(r.seller_id, r["rank"]) for r in top] == [("s2", 1)]
+    categories = by(kpi.top_categories(*star[:2], 5), "product_category", "rank")
+    assert categories == {"Toys": (1,), None: (2,)}
+
+
+def test_calendar_reports(star):
+    fact = star[0]
+    calendar = gold.dim_date(fact)
+    # The last day, 8 January, has no calendar row: its purchase was earlier in the day.
+    found = by(kpi.late_by_calendar(fact, calendar, "is_weekend"), "is_weekend", "n_orders", "n_late")
+    assert found == {True: (3, 2), None: (1, 0)}
+    months = kpi.late_by_calendar(fact, gold.dim_date(fact, align_to_midnight=True), "year", "month")
+    assert [tuple(r) for r in months.collect()] == [(2018, 1, 4, 2, 50.0)]
+
+
+def test_late_by_size(star):
+    found = by(
+        kpi.late_by_size(*star[:2], "product_volume_cm3", (1000, 27000)),
+        "band", "n_orders", "n_late", "n_items", "freight",
+    )
+    assert found == {
+        0: (3, 2, 5, Decimal("5.00")),
+        1: (1, 1, 1, Decimal("2.00")),
+        None: (1, 0, 1, Decimal("4.00")),
+    }

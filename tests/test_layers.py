@@ -1,0 +1,135 @@
+"""The whole run on the smallest driver tables."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from parceltrail import driver_tables as raw
+from parceltrail import queries
+from parceltrail.plans import bronze, layers
+from parceltrail.sinks.layers import LayerStore
+
+SF_DIR = "/root/testdata/sf0.001"
+NOW = datetime(2020, 5, 17, 12, 0, 0)
+
+
+@pytest.fixture(scope="module")
+def data(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("data")
+    for name, build in (
+        ("orders", raw.raw_orders),
+        ("order_items", raw.raw_items),
+        ("products", raw.raw_products),
+        ("sellers", raw.raw_sellers),
+        ("geolocation", raw.raw_geolocation),
+    ):
+        queries._write_csv(build(spark, SF_DIR), f"{folder}/raw_{name}_dataset.csv")
+    return str(folder)
+
+
+@pytest.fixture(scope="module")
+def store(spark, data, tmp_path_factory):
+    return layers.run(spark, data, str(tmp_path_factory.mktemp("tables")), prefix="t_", run_ts=NOW)
+
+
+def content(df):
+    return sorted(tuple(str(v) for v in r) for r in df.collect())
+
+
+TABLES = [("bronze", t) for t in bronze.SOURCES] + [
+    ("silver", "orders"), ("silver", "orders_items"), ("silver", "products"), ("silver", "sellers"),
+    ("gold", "orders_fact"), ("gold", "dim_sellers"), ("gold", "dim_products"), ("gold", "dim_date"),
+]
+
+
+def test_second_run_gives_the_same_tables(spark, store, data):
+    first = {t: content(store.read(*t)) for t in TABLES}
+    layers.run(spark, data, store.root, prefix="t_", run_ts=NOW)
+    for t in TABLES:
+        assert content(store.read(*t)) == first[t], t
+
+
+def test_raw_tables_hold_text_and_audit_columns(store):
+    for table in bronze.SOURCES:
+        types = dict(store.read("bronze", table).dtypes)
+        assert types.pop("ingestion_date") == "timestamp_ntz"
+        assert set(types.values()) == {"string"}
+
+
+def test_clean_tables_equal_the_direct_plans(spark, store):
+    for table, query in (
+        ("orders", queries.orders),
+        ("orders_items", queries.items),
+        ("products", queries.products),
+        ("sellers", queries.sellers),
+    ):
+        stored = store.read("silver", table)
+        assert stored.select("updated_at").distinct().count() == 1
+        assert content(stored.drop("updated_at")) == content(query(spark, SF_DIR))
+
+
+def test_star_equals_the_direct_plans(spark, store):
+    star = layers.star(store)
+    for table, query in (
+        ("orders_fact", queries.fact),
+        ("dim_sellers", queries.dim_sellers),
+        ("dim_products", queries.dim_products),
+        ("dim_date", queries.dim_date),
+    ):
+        assert star[table].dtypes == query(spark, SF_DIR).dtypes
+        assert content(star[table]) == content(query(spark, SF_DIR))
+
+
+def test_keys_are_unique(store):
+    for layer, table, keys in (
+        ("silver", "orders", ["order_id"]),
+        ("silver", "orders_items", ["order_id", "order_item_id"]),
+        ("silver", "products", ["product_id"]),
+        ("silver", "sellers", ["seller_id"]),
+        ("gold", "dim_date", ["date_id"]),
+    ):
+        df = store.read(layer, table)
+        assert df.select(*keys).distinct().count() == df.count()
+
+
+def test_fact_rules(store):
+    fact = store.read("gold", "orders_fact")
+    assert fact.where("is_late AND (delay_days IS NULL OR delay_days < 0)").count() == 0
+    assert fact.where("delay_days > 0 AND NOT is_late").count() == 0
+    delivered = store.read("silver", "orders").where("order_status = 'delivered'")
+    items = store.read("silver", "orders_items")
+    assert fact.count() == items.join(delivered, "order_id", "left_semi").count()
+
+
+def test_failed_load_keeps_the_old_table(spark, tmp_path):
+    store = LayerStore(spark, str(tmp_path), prefix="f_")
+    store.create_layer("bronze")
+    store.replace("bronze", "t", spark.range(3))
+    failing = spark.range(1).select(F.raise_error(F.lit("broken")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        store.replace("bronze", "t", failing)
+    assert store.read("bronze", "t").count() == 3
+
+
+def test_table_can_be_replaced_from_itself(spark, tmp_path):
+    store = LayerStore(spark, str(tmp_path), prefix="s_")
+    store.create_layer("bronze")
+    store.replace("bronze", "t", spark.range(3))
+    store.replace("bronze", "t", store.read("bronze", "t").where("id > 0"))
+    assert store.read("bronze", "t").count() == 2
+
+
+def test_typed_layers_refuse_silent_casts(spark, store):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(ValueError, match="ansi"):
+            layers.build_silver(store)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_missing_file_fails(spark, tmp_path):
+    store = LayerStore(spark, str(tmp_path), prefix="m_")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        layers.load_bronze(store, str(tmp_path / "nothing"))
