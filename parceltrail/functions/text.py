@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_ALNUM_RUNS = r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+"
+# A word with what follows it up to the next one, or whatever precedes the first word.
+_WORDS = r"[\p{L}\p{N}]++[^\p{L}\p{N}]*+|[^\p{L}\p{N}]++"
 
 
 def capitalise_words(col: Column) -> Column:
@@ -16,13 +17,13 @@ def capitalise_words(col: Column) -> Column:
     without a one-letter upper case, such as the German sharp s, stays as it is.
     """
 
-    def capitalise(run: Column) -> Column:
-        first = F.left(run, F.lit(1))
+    def capitalise(word: Column) -> Column:
+        first = F.left(word, F.lit(1))
         upper = F.upper(first)
-        return F.concat(F.when(F.length(upper) == 1, upper).otherwise(first), F.substr(run, F.lit(2)))
+        return F.concat(F.when(F.length(upper) == 1, upper).otherwise(first), F.substr(word, F.lit(2)))
 
-    runs = F.regexp_extract_all(F.lower(col), F.lit(_ALNUM_RUNS), F.lit(0))
-    return F.array_join(F.transform(runs, capitalise), "")
+    words = F.regexp_extract_all(F.lower(col), F.lit(_WORDS), F.lit(0))
+    return F.array_join(F.transform(words, capitalise), "")
 
 
 def category_label(col: Column) -> Column:

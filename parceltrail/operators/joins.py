@@ -61,7 +61,8 @@ def split_join(
 
     A row of a hot key gets a part number from a hash of its content, and the matching ``lookup``
     row is repeated once per part; all other rows get part 0. The hash is of the content, not of
-    the row's position, so that a recomputed task sends its rows to the same place again.
+    the row's position, so that a recomputed task sends its rows to the same place again. Rows
+    equal in every column stay together; where that matters, aggregate them first.
 
     ``count_on`` names a cheaper table with the same keys (or more rows per key) to count on,
     for instance the raw rows below a deduplication.

@@ -255,6 +255,16 @@ ORACLE = {
     "gold_dim_sellers": _sql("SELECT * FROM dim_sellers", "dim_sellers"),
     "gold_dim_products": _sql("SELECT * FROM dim_products", "dim_products"),
     "gold_dim_date": _sql(_calendar("fact", "purchase_timestamp"), "fact"),
+    "star_join": _sql(
+        """SELECT * FROM (SELECT *, CAST(strftime(purchase_timestamp, '%Y%m%d') AS INTEGER) AS date_id
+               FROM fact)
+     LEFT JOIN dim_products USING (product_id) LEFT JOIN dim_sellers USING (seller_id)
+     LEFT JOIN dim_date USING (date_id)""",
+        "fact",
+        "dim_products",
+        "dim_sellers",
+        dim_date=_calendar("fact", "purchase_timestamp"),
+    ),
     "dim_date_of_events": _calendar("events", "ts"),
     "calendar_at_midnight": _calendar(
         "events", "ts", "CAST(CAST(lo AS DATE) AS TIMESTAMP)", "CAST(CAST(hi AS DATE) AS TIMESTAMP)"

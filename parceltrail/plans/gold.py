@@ -68,3 +68,20 @@ def dim_date(
         cal.padded_name(day, "EEEE").alias("day_name"),
         cal.is_weekend(day).alias("is_weekend"),
     )
+
+
+def wide_fact(
+    fact: DataFrame,
+    dim_products: DataFrame,
+    dim_sellers: DataFrame,
+    dim_date: DataFrame,
+    count_on: DataFrame | None = None,
+) -> DataFrame:
+    """The fact with the attributes of all its dimensions; NULL where a dimension row is missing.
+
+    The fact has no day key; it is derived from the time of purchase.
+    """
+    with_products = lookup_join(fact, dim_products, "product_id", "left", count_on)
+    with_sellers = lookup_join(with_products, dim_sellers, "seller_id", "left", count_on)
+    day = cal.date_id(F.col("purchase_timestamp")).alias("date_id")
+    return lookup_join(with_sellers.select("*", day), dim_date, "date_id", "left")

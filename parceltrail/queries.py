@@ -58,6 +58,16 @@ def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.dim_date(fact(spark, sf_dir))
 
 
+def star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.wide_fact(
+        fact(spark, sf_dir),
+        dim_products(spark, sf_dir),
+        dim_sellers(spark, sf_dir),
+        dim_date(spark, sf_dir),
+        count_on=raw.raw_items(spark, sf_dir),
+    )
+
+
 def dim_date_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.dim_date(table(spark, sf_dir, "events"), "ts")
 
@@ -232,11 +242,15 @@ def people_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- reports ----------------------------------------------------------------------------------
 
 
-def _report(build, *dims):
+def _report(build, *dims, **parameters):
     """Query that applies a report to the fact and the named dimension queries."""
-    return lambda spark, sf_dir: build(
-        fact(spark, sf_dir), *(dim(spark, sf_dir) for dim in dims)
-    )
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        count_on = {"count_on": raw.raw_items(spark, sf_dir)} if dims else {}
+        tables = (fact(spark, sf_dir), *(dim(spark, sf_dir) for dim in dims))
+        return build(*tables, **parameters, **count_on)
+
+    return query
 
 
 def _calendar_report(*attributes: str):
@@ -247,10 +261,6 @@ def _calendar_report(*attributes: str):
     return query
 
 
-def _size_report(measure: str, bounds: tuple[int, ...]):
-    return _report(lambda f, dim: kpi.late_by_size(f, dim, measure, bounds), dim_products)
-
-
 def layers_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV files of the raw tables through all layers; late share by seller from the stored fact."""
     root = scratch_dir(spark, "layers")
@@ -288,6 +298,7 @@ QUERIES = {
     "gold_dim_sellers": dim_sellers,
     "gold_dim_products": dim_products,
     "gold_dim_date": dim_date,
+    "star_join": star_join,
     "dim_date_of_events": dim_date_of_events,
     "calendar_at_midnight": calendar_at_midnight,
     "kpi_sla": _report(kpi.sla),
@@ -307,8 +318,12 @@ QUERIES = {
     "kpi_late_by_month": _calendar_report("year", "month"),
     "kpi_late_by_weekend": _calendar_report("is_weekend"),
     "kpi_late_by_weekday": _calendar_report("day_of_week", "day_name"),
-    "kpi_delay_by_volume": _size_report("product_volume_cm3", VOLUME_BOUNDS),
-    "kpi_delay_by_weight": _size_report("weight_g", WEIGHT_BOUNDS),
+    "kpi_delay_by_volume": _report(
+        kpi.late_by_size, dim_products, measure="product_volume_cm3", bounds=VOLUME_BOUNDS
+    ),
+    "kpi_delay_by_weight": _report(
+        kpi.late_by_size, dim_products, measure="weight_g", bounds=WEIGHT_BOUNDS
+    ),
     "json_field": json_field,
     "json_records_inline": json_records_inline,
     "row_message": row_message,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,8 @@ class LayerStore:
     """Parquet tables ``<layer>.<table>`` below ``root``, a folder all executors can reach.
 
     ``prefix`` is put before the database names, so that several stores can share one catalog.
+    Each load of a table has a folder of its own, named by its time:
+    ``<root>/<layer>/<table>/<load>``.
     """
 
     def __init__(self, spark: SparkSession, root: str, prefix: str = ""):
@@ -34,12 +37,36 @@ class LayerStore:
         place. The folder of the old content is left for queries that still read it; removing
         unreferenced folders is a matter of the storage's retention rule.
         """
-        name = self.name(layer, table)
-        location = f"{self.root}/{layer}/{table}/{uuid.uuid4().hex}"
+        location = f"{self._folder(layer, table)}/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
         df.write.parquet(location)
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self.spark.catalog.createTable(name, path=location, source="parquet", schema=df.schema)
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table)}")
+        self._register(layer, table, location)
         return self.read(layer, table)
 
     def read(self, layer: str, table: str) -> DataFrame:
+        """The stored table; its last complete load if the catalog does not know the table.
+
+        The latter is the case when an earlier session wrote it and the catalog is not persistent.
+        """
+        if not self.spark.catalog.tableExists(self.name(layer, table)):
+            self.create_layer(layer)
+            self._register(layer, table, self._last_load(layer, table))
         return self.spark.table(self.name(layer, table))
+
+    def _folder(self, layer: str, table: str) -> str:
+        return f"{self.root}/{layer}/{table}"
+
+    def _register(self, layer: str, table: str, location: str) -> None:
+        schema = self.spark.read.parquet(location).schema
+        self.spark.catalog.createTable(
+            self.name(layer, table), path=location, source="parquet", schema=schema
+        )
+
+    def _last_load(self, layer: str, table: str) -> str:
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        marker = hadoop.Path(f"{self._folder(layer, table)}/*/_SUCCESS")
+        files = marker.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(marker)
+        loads = sorted(f.getPath().getParent().toString() for f in files or [])
+        if not loads:
+            raise LookupError(f"no complete load of {layer}.{table} below {self.root}")
+        return loads[-1]

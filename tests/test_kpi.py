@@ -105,7 +105,7 @@ def test_rankings(star):
     assert ranks == {"s2": (1, 2), "s1": (2, 1), "s3": (3, 0)}
     top = kpi.top_offenders(star[0], 1).collect()
     assert [(r.seller_id, r["rank"]) for r in top] == [("s2", 1)]
-    categories = by(kpi.top_categories(*star[:2], 5), "product_category", "rank")
+    categories = by(kpi.top_categories(*star[:2], k=5), "product_category", "rank")
     assert categories == {"Toys": (1,), None: (2,)}
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from parceltrail import driver_tables as raw
 from parceltrail import queries
+from parceltrail.__main__ import main as cli
 from parceltrail.plans import bronze, layers
 from parceltrail.sinks.layers import LayerStore
 
@@ -120,6 +121,29 @@ def test_table_can_be_replaced_from_itself(spark, tmp_path):
     assert store.read("bronze", "t").count() == 2
 
 
+def test_layers_run_in_separate_sessions(spark, data, tmp_path):
+    def run(layer):
+        # Another prefix stands for a catalog that has forgotten the tables.
+        arguments = [layer, "--warehouse", str(tmp_path), "--prefix", f"m{layer}_"]
+        cli([*arguments, "--data", data])
+
+    for layer in ("bronze", "silver", "gold"):
+        run(layer)
+    store = LayerStore(spark, str(tmp_path), prefix="mread_")
+    fact = store.read("gold", "orders_fact")
+    assert content(fact) == content(queries.fact(spark, SF_DIR))
+
+
+def test_incomplete_loads_are_not_read(spark, tmp_path):
+    store = LayerStore(spark, str(tmp_path), prefix="i_")
+    store.create_layer("bronze")
+    store.replace("bronze", "t", spark.range(3))
+    (tmp_path / "bronze" / "t" / "99999999999999999999-unfinished").mkdir()
+    assert LayerStore(spark, str(tmp_path), prefix="j_").read("bronze", "t").count() == 3
+    with pytest.raises(LookupError):
+        store.read("bronze", "absent")
+
+
 def test_typed_layers_refuse_silent_casts(spark, store):
     spark.conf.set("spark.sql.ansi.enabled", "false")
     try:

@@ -24,7 +24,7 @@ def test_query_equals_sql(spark, con, name):
 
 @pytest.mark.parametrize(
     "name",
-    ["gold_fact", "kpi_late_by_category", "kpi_late_grouping_sets", "kpi_delay_by_volume",
+    ["gold_fact", "star_join", "kpi_late_by_category", "kpi_late_grouping_sets", "kpi_delay_by_volume",
      "kpi_late_by_month", "kpi_seller_ranking"],
 )
 def test_query_equals_sql_with_shuffle_joins(spark, shuffle_joins, con, name):
