@@ -26,6 +26,14 @@ def has_embedded_breaks(spark: SparkSession, path: str) -> bool:
     return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
 
 
+def _line_end(spark: SparkSession, path: str) -> str | None:
+    """Line end of the header. Left to itself, record-wise reading turns CRLF in quotes into LF."""
+    header = spark.read.text(path, lineSep="\n").first()
+    if header is None or "\r" not in header.value:
+        return "\n"
+    return "\r\n" if header.value.endswith("\r") else None
+
+
 def _too_long(record: Column, n_columns: int) -> Column:
     unquoted = F.regexp_replace(record, r'"[^"]*"', "")
     n_commas = F.length(unquoted) - F.length(F.translate(unquoted, ",", ""))
@@ -57,6 +65,8 @@ def read_text_csv(
     if multi_line is None:
         multi_line = has_embedded_breaks(spark, path)
     options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
+    if multi_line:
+        options["lineSep"] = _line_end(spark, path)
     header = spark.read.csv(path, **options).columns
     if not header:
         raise ValueError(f"no header row in {path}")
