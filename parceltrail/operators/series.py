@@ -14,5 +14,6 @@ def daily_series(df: DataFrame, ts: str, out: str, align_to_midnight: bool = Fal
     """
     bounds = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi"))
     if align_to_midnight:
-        bounds = bounds.select(*(F.date_trunc("day", c).cast("timestamp_ntz").alias(c) for c in ("lo", "hi")))
+        midnight = (F.col(c).cast("date").cast("timestamp_ntz").alias(c) for c in ("lo", "hi"))
+        bounds = bounds.select(*midnight)
     return bounds.select(F.explode(F.expr("sequence(lo, hi, interval 1 day)")).alias(out))

@@ -24,7 +24,7 @@ def load_csv(
 ) -> DataFrame:
     """Text columns of the files at ``path``, then ``ingestion_date`` and ``source_file``."""
     rows = read_text_csv(spark, path, **csv_options)
-    now = F.lit(run_ts).cast("timestamp_ntz") if run_ts else F.localtimestamp()
+    now = F.lit(str(run_ts)).cast("timestamp_ntz") if run_ts else F.localtimestamp()
     return rows.withColumn("ingestion_date", now).select(
         *[c for c in rows.columns if c != "source_file"], "ingestion_date", "source_file"
     )

@@ -31,7 +31,9 @@ def _integer(name: str) -> Column:
 
 
 def _updated_at(run_ts: datetime | None) -> Column:
-    return (F.lit(run_ts).cast("timestamp") if run_ts else F.current_timestamp()).alias("updated_at")
+    """The given clock, read in the session's time zone, or the current time."""
+    now = F.lit(str(run_ts)).cast("timestamp") if run_ts else F.current_timestamp()
+    return now.alias("updated_at")
 
 
 def orders(bronze: DataFrame, run_ts: datetime | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from parceltrail import driver_tables as raw
 from parceltrail import queries
 from parceltrail.__main__ import main as cli
-from parceltrail.plans import bronze, layers
+from parceltrail.plans import bronze, kpi, layers
 from parceltrail.sinks.layers import LayerStore
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -82,6 +82,17 @@ def test_star_equals_the_direct_plans(spark, store):
         assert content(star[table]) == content(query(spark, SF_DIR))
 
 
+def test_stored_tables_answer_sql(spark, store):
+    found = spark.sql("""
+        SELECT p.product_category, count(DISTINCT f.order_id) AS n_orders,
+               count(DISTINCT CASE WHEN f.is_late THEN f.order_id END) AS n_late
+        FROM t_gold.orders_fact f LEFT JOIN t_gold.dim_products p ON f.product_id = p.product_id
+        GROUP BY p.product_category""")
+    star = layers.star(store)
+    report = kpi.late_by_category(star["orders_fact"], star["dim_products"]).drop("pct_late")
+    assert content(found) == content(report)
+
+
 def test_keys_are_unique(store):
     for layer, table, keys in (
         ("silver", "orders", ["order_id"]),

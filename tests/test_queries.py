@@ -33,3 +33,18 @@ def test_query_equals_sql_with_shuffle_joins(spark, shuffle_joins, con, name):
 
 def test_entry_returns_ten_sellers(spark):
     assert entry(spark).count() == 10
+
+
+@pytest.mark.parametrize(
+    "name", ["silver_orders", "gold_dim_date", "calendar_at_midnight", "csv_roundtrip", "delay_fractional"]
+)
+def test_results_do_not_depend_on_the_time_zone(spark, con, name):
+    setting = "spark.sql.session.timeZone"
+    before = spark.conf.get(setting)
+    # A zone whose clock changes at midnight: some local midnights do not exist.
+    spark.conf.set(setting, "America/Sao_Paulo")
+    try:
+        problem = differences(queries()[name](spark, SF_DIR), con, oracle_sql()[name])
+    finally:
+        spark.conf.set(setting, before)
+    assert problem is None
