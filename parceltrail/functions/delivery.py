@@ -25,12 +25,12 @@ def delay_days(status: Column, delivered: Column, estimated: Column) -> Column:
     ``datediff`` would count midnights instead: 15 hours early is 0 days here, not -1.
     """
     days = F.extract(F.lit("DAY"), delivered - estimated).cast("int")
-    return F.when((status == DELIVERED) & delivered.isNotNull(), days)
+    return F.when(status == DELIVERED, days)
 
 
 def is_late(status: Column, delivered: Column, estimated: Column) -> Column:
     """True for a delivery after the promised moment, however short; never NULL."""
-    return F.when((status == DELIVERED) & (delivered > estimated), True).otherwise(False)
+    return F.coalesce((status == DELIVERED) & (delivered > estimated), F.lit(False))
 
 
 def region_of(state: Column) -> Column:

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from parceltrail.functions.delivery import REGION_STATES
+
 # --- shared parts: the layers as common table expressions -------------------------------------
 
+_REGION_ROWS = ", ".join(
+    f"('{state}', '{region}')" for region, states in REGION_STATES.items() for state in states
+)
+
 _CTES = {
     "order_rows": """
         SELECT o.*, 0 AS version FROM orders o
@@ -28,12 +34,11 @@ _CTES = {
         SELECT order_id, customer_id, order_status, purchase_timestamp,
                purchase_timestamp + to_hours(1) AS approved_at, delivered_carrier_date,
                delivered_customer_date, estimated_delivery_date,
-               CASE WHEN order_status = 'delivered' AND delivered_customer_date IS NOT NULL
-                    THEN CAST(extract('day' FROM delivered_customer_date - estimated_delivery_date)
-                              AS INTEGER) END AS delay_days,
-               CASE WHEN order_status = 'delivered'
-                         AND delivered_customer_date > estimated_delivery_date
-                    THEN TRUE ELSE FALSE END AS is_late
+               if(order_status = 'delivered',
+                  CAST(extract('day' FROM delivered_customer_date - estimated_delivery_date)
+                       AS INTEGER), NULL) AS delay_days,
+               coalesce(order_status = 'delivered'
+                        AND delivered_customer_date > estimated_delivery_date, FALSE) AS is_late
         FROM raw_orders
         QUALIFY row_number() OVER (PARTITION BY order_id
                                    ORDER BY purchase_timestamp DESC NULLS FIRST) = 1""",
@@ -85,20 +90,16 @@ _CTES = {
                CAST(length_cm * height_cm * width_cm AS DECIMAL(32,6)) AS product_volume_cm3
         FROM silver_products""",
     "dim_sellers": """
-        SELECT seller_id, city, state,
-               CASE WHEN state IN ('SP','RJ','MG','ES') THEN 'Sudeste'
-                    WHEN state IN ('PR','SC','RS') THEN 'Sul'
-                    WHEN state IN ('AC','AP','AM','PA','RO','RR','TO') THEN 'Norte'
-                    WHEN state IN ('AL','BA','CE','MA','PB','PE','PI','RN','SE') THEN 'Nordeste'
-                    WHEN state IN ('DF','GO','MT','MS') THEN 'Centro-Oeste' END AS region
-        FROM silver_sellers""",
+        SELECT seller_id, city, state, region FROM silver_sellers LEFT JOIN regions USING (state)""",
+    "regions": f"""
+        SELECT * FROM (VALUES {_REGION_ROWS}) AS r(state, region)""",
 }
 
 _LAYER = {
     "silver_orders": ["order_rows", "raw_orders", "silver_orders"],
     "silver_items": ["silver_items"],
     "dim_products": ["silver_products", "dim_products"],
-    "dim_sellers": ["silver_sellers", "dim_sellers"],
+    "dim_sellers": ["silver_sellers", "regions", "dim_sellers"],
 }
 _LAYER["fact"] = [*_LAYER["silver_orders"], *_LAYER["silver_items"], "fact"]
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from parceltrail.plans import bronze, gold, silver
@@ -20,6 +22,24 @@ SILVER = {
 }
 
 
+def _replace_all(
+    store: LayerStore, layer: str, tables: Mapping[str, Callable[[], DataFrame]]
+) -> None:
+    """Replace independent tables of a layer at the same time.
+
+    A small table then runs in the idle cores at the end of a large one.
+    """
+    store.create_layer(layer)
+
+    def load(table: str) -> None:
+        store.replace(layer, table, tables[table]())
+
+    with ThreadPoolExecutor(len(tables)) as pool:
+        target = inheritable_thread_target(store.spark)(load)
+        for done in [pool.submit(target, table) for table in tables]:
+            done.result()
+
+
 def load_bronze(
     store: LayerStore,
     data_path: str,
@@ -28,26 +48,38 @@ def load_bronze(
     **csv_options: bool | None,
 ) -> None:
     """Replace the raw tables; ``sources`` maps a table to a file pattern below ``data_path``."""
-    store.create_layer("bronze")
-    for table, pattern in sources.items():
+
+    def reader(pattern: str) -> Callable[[], DataFrame]:
         path = f"{data_path.rstrip('/')}/{pattern}"
-        store.replace("bronze", table, bronze.load_csv(store.spark, path, run_ts, **csv_options))
+        return lambda: bronze.load_csv(store.spark, path, run_ts, **csv_options)
+
+    _replace_all(store, "bronze", {table: reader(p) for table, p in sources.items()})
 
 
 def build_silver(store: LayerStore, run_ts: datetime | None = None) -> None:
     require_ansi(store.spark)
-    store.create_layer("silver")
-    for table, (raw, build) in SILVER.items():
-        store.replace("silver", table, build(store.read("bronze", raw), run_ts))
+
+    def builder(raw: str, build: Callable) -> Callable[[], DataFrame]:
+        return lambda: build(store.read("bronze", raw), run_ts)
+
+    _replace_all(store, "silver", {table: builder(*parts) for table, parts in SILVER.items()})
 
 
 def build_gold(store: LayerStore) -> None:
-    store.create_layer("gold")
-    fact = gold.orders_fact(store.read("silver", "orders_items"), store.read("silver", "orders"))
-    stored_fact = store.replace("gold", "orders_fact", fact)
-    store.replace("gold", "dim_sellers", gold.dim_sellers(store.read("silver", "sellers")))
-    store.replace("gold", "dim_products", gold.dim_products(store.read("silver", "products")))
-    store.replace("gold", "dim_date", gold.dim_date(stored_fact))
+    def fact() -> DataFrame:
+        return gold.orders_fact(store.read("silver", "orders_items"), store.read("silver", "orders"))
+
+    _replace_all(
+        store,
+        "gold",
+        {
+            "orders_fact": fact,
+            "dim_sellers": lambda: gold.dim_sellers(store.read("silver", "sellers")),
+            "dim_products": lambda: gold.dim_products(store.read("silver", "products")),
+        },
+    )
+    # The calendar spans the purchases of the stored fact.
+    store.replace("gold", "dim_date", gold.dim_date(store.read("gold", "orders_fact")))
 
 
 def run(

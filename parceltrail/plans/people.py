@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-GREETING = "Hello! :)"  # fixed value
+# Wording of the message.
+GREETING = "Hello! :)"
+MESSAGE = "%s is currently in space flying on the %s! %s"
 
 
 def message(craft: Column, name: Column, greeting: Column) -> Column:
-    return F.format_string("%s is currently in space flying on the %s! %s", name, craft, greeting)
+    return F.format_string(MESSAGE, name, craft, greeting)
 
 
 def person_rows(documents: DataFrame) -> DataFrame:

@@ -15,15 +15,17 @@ NA_TOKENS = [
 _RECORD = "_raw_record"
 
 
-def has_embedded_breaks(spark: SparkSession, path: str) -> bool:
-    """True if some physical line holds an odd number of quotes.
+def files_with_breaks(spark: SparkSession, path: str) -> list[str]:
+    """Files in which some physical line holds an odd number of quotes.
 
     The first line of a record that continues on the next line always does. A lone literal quote
     inside an unquoted field does as well; such files are then read record-wise, which is right
-    too, only less parallel.
+    too, only less parallel. The list has at most one entry per input file.
     """
     quotes = F.length("value") - F.length(F.translate("value", '"', ""))
-    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+    lines = spark.read.text(path).select("value", "_metadata.file_path")
+    files = lines.where(quotes % 2 == 1).select("file_path").distinct()
+    return [row.file_path for row in files.collect()]
 
 
 def _line_end(spark: SparkSession, path: str) -> str | None:
@@ -44,32 +46,10 @@ def _quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def read_text_csv(
-    spark: SparkSession,
-    path: str,
-    multi_line: bool | None = None,
-    pad_short: bool = True,
+def _read_checked(
+    spark: SparkSession, path: str, header: list[str], multi_line: bool, pad_short: bool
 ) -> DataFrame:
-    """Read CSV with a header row; every column is text, plus ``source_file``.
-
-    ``path`` is a file, folder or glob; all files must have the same header. Blanks around header
-    names are removed, values are kept as they are, and NA tokens become NULL.
-
-    ``multi_line`` says whether quoted fields may contain line breaks. Files without them are
-    split between tasks; files with them are read by one task each. ``None`` looks first, which
-    costs one more pass over the text; pass False where the files are known to be line-wise.
-
-    A row with more fields than the header fails the read. A row with fewer is filled with NULL,
-    or fails the read with ``pad_short=False``. The check is part of the plan, not a second pass.
-    """
-    if multi_line is None:
-        multi_line = has_embedded_breaks(spark, path)
-    options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
-    if multi_line:
-        options["lineSep"] = _line_end(spark, path)
-    header = spark.read.csv(path, **options).columns
-    if not header:
-        raise ValueError(f"no header row in {path}")
+    """Text columns, ``source_file`` and ``file_path``; rows of a wrong width fail the read."""
     schema = StructType([StructField(c, StringType()) for c in [*header, _RECORD]])
     rows = (
         # Without column pruning every record is checked, whatever the query selects.
@@ -79,9 +59,9 @@ def read_text_csv(
             schema=schema,
             columnNameOfCorruptRecord=_RECORD,
             enforceSchema=False,
-            **options,
+            **_options(spark, path, multi_line),
         )
-        .select("*", F.col("_metadata.file_name").alias("source_file"))
+        .select("*", F.col("_metadata.file_name").alias("source_file"), "_metadata.file_path")
     )
     bad = F.col(_RECORD).isNotNull()
     if pad_short:
@@ -94,7 +74,45 @@ def read_text_csv(
         _quoted(header[0]),
     )
     checked = rows.where(F.when(bad, F.raise_error(message).cast("boolean")).otherwise(True))
+    return checked.drop(_RECORD)
+
+
+def _options(spark: SparkSession, path: str, multi_line: bool) -> dict:
+    options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
+    return {**options, "lineSep": _line_end(spark, path)} if multi_line else options
+
+
+def read_text_csv(
+    spark: SparkSession,
+    path: str,
+    multi_line: bool | None = None,
+    pad_short: bool = True,
+) -> DataFrame:
+    """Read CSV with a header row; every column is text, plus ``source_file``.
+
+    ``path`` is a file, folder or glob; all files must have the same header. Blanks around header
+    names are removed, values are kept as they are, and NA tokens become NULL.
+
+    ``multi_line`` says whether quoted fields may contain line breaks. Files without them are
+    split between tasks; files with them are read by one task each. ``None`` looks which files
+    have them, which costs one more pass over the text; pass False where there are none.
+
+    A row with more fields than the header fails the read. A row with fewer is filled with NULL,
+    or fails the read with ``pad_short=False``. The check is part of the plan, not a second pass.
+    """
+    broken = files_with_breaks(spark, path) if multi_line is None else []
+    record_wise = multi_line or bool(broken)
+    header = spark.read.csv(path, **_options(spark, path, record_wise)).columns
+    if not header:
+        raise ValueError(f"no header row in {path}")
+
+    rows = _read_checked(spark, path, header, record_wise, pad_short)
+    if broken:
+        # The filters select whole files, so each file is read by one of the two scans only.
+        is_broken = F.col("file_path").isin(broken)
+        line_wise = _read_checked(spark, path, header, False, pad_short)
+        rows = rows.where(is_broken).union(line_wise.where(~is_broken))
     names = [c.strip() for c in header]
-    renamed = checked.drop(_RECORD).toDF(*names, "source_file")
+    renamed = rows.drop("file_path").toDF(*names, "source_file")
     values = [F.when(~_quoted(c).isin(NA_TOKENS), _quoted(c)).alias(c) for c in names]
     return renamed.select(*values, "source_file")

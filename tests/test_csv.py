@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 
 from parceltrail.plans.bronze import load_csv
-from parceltrail.sources.csv_text import NA_TOKENS, has_embedded_breaks, read_text_csv
+from parceltrail.sources.csv_text import NA_TOKENS, files_with_breaks, read_text_csv
 
 SAMPLE = """id ,v,w
 1,"a ""q"" b",NA
@@ -45,7 +45,7 @@ def test_sample(spark, csv):
 def test_break_that_looks_like_a_full_row(spark, csv):
     # Read line by line, both halves would have three fields and pass unnoticed.
     path = csv('a,b,c\n1,x,"one\n2,y,z"\n')
-    assert has_embedded_breaks(spark, path)
+    assert len(files_with_breaks(spark, path)) == 1
     assert rows(read_text_csv(spark, path)) == [("1", "x", "one\n2,y,z")]
 
 
@@ -54,7 +54,7 @@ def test_lone_quote_in_unquoted_field(spark, csv):
 
 
 def test_no_breaks_found_without_odd_quotes(spark, csv):
-    assert not has_embedded_breaks(spark, csv('a,b\n1,"x ""y"" z"\n'))
+    assert files_with_breaks(spark, csv('a,b\n1,"x ""y"" z"\n')) == []
 
 
 @pytest.mark.parametrize("multi_line", [True, False])
@@ -120,6 +120,16 @@ def test_folder_of_files_and_source_names(spark, csv):
     assert found == {"1": "one.csv", "2": "two.csv"}
 
 
+def test_only_files_with_breaks_are_read_whole(spark, csv, monkeypatch):
+    csv('a,b\n1,"x\ny"\n', "one file%20.csv")
+    path = csv("a,b\n2,z\n3,w\n", "two.csv")
+    df = read_text_csv(spark, path)
+    assert rows(df) == [("1", "x\ny"), ("2", "z"), ("3", "w")]
+    plan = df._jdf.queryExecution().executedPlan()
+    scans = [plan.collectLeaves().apply(i) for i in range(plan.collectLeaves().size())]
+    assert sorted(s.selectedPartitions().totalNumberOfFiles() for s in scans) == [1, 1]
+
+
 def test_files_with_different_headers_fail(spark, csv):
     csv("a,b\n1,x\n", "one.csv")
     path = csv("b,a\n2,y\n", "two.csv")
