@@ -237,7 +237,7 @@ def late_by_size(
         "order_id",
         "is_late",
         F.lit(1).cast("bigint").alias("n_items"),
-        F.col("freight_value").cast("decimal(18,2)").alias("freight"),
+        F.col("freight_value").alias("freight"),
     )
     orders = (
         _attach(lines, bands, "product_id", ["band"], count_on, measures)
