@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -46,19 +48,34 @@ def _quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def _column_names(header: list[str | None]) -> list[str]:
+    """Names without surrounding blanks; missing ones get their position, repeated ones a number."""
+    seen: Counter[str] = Counter()
+    names = []
+    for position, cell in enumerate(header):
+        name = cell or f"Unnamed: {position}"
+        names.append((f"{name}.{seen[name]}" if seen[name] else name).strip())
+        seen[name] += 1
+    return names
+
+
 def _read_checked(
-    spark: SparkSession, path: str, header: list[str], multi_line: bool, pad_short: bool
+    spark: SparkSession, path: str, header: list[str | None], multi_line: bool, pad_short: bool
 ) -> DataFrame:
     """Text columns, ``source_file`` and ``file_path``; rows of a wrong width fail the read."""
-    schema = StructType([StructField(c, StringType()) for c in [*header, _RECORD]])
+    # Spark compares the header of every file with the schema, for which it needs distinct names.
+    comparable = all(header) and len({cell.lower() for cell in header}) == len(header)
+    columns = header if comparable else [f"_c{i}" for i in range(len(header))]
+    schema = StructType([StructField(c, StringType()) for c in [*columns, _RECORD]])
     rows = (
         # Without column pruning every record is checked, whatever the query selects.
         spark.read.option("columnPruning", False)
         .csv(
             path,
             schema=schema,
+            header=True,
             columnNameOfCorruptRecord=_RECORD,
-            enforceSchema=False,
+            enforceSchema=not comparable,
             **_options(spark, path, multi_line),
         )
         .select("*", F.col("_metadata.file_name").alias("source_file"), "_metadata.file_path")
@@ -71,14 +88,14 @@ def _read_checked(
         f"expected {len(header)} fields in %s, got: %s (first value %s)",
         F.col("source_file"),
         F.col(_RECORD),
-        _quoted(header[0]),
+        _quoted(columns[0]),
     )
     checked = rows.where(F.when(bad, F.raise_error(message).cast("boolean")).otherwise(True))
     return checked.drop(_RECORD)
 
 
 def _options(spark: SparkSession, path: str, multi_line: bool) -> dict:
-    options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
+    options = {"quote": '"', "escape": '"', "multiLine": multi_line}
     return {**options, "lineSep": _line_end(spark, path)} if multi_line else options
 
 
@@ -90,8 +107,9 @@ def read_text_csv(
 ) -> DataFrame:
     """Read CSV with a header row; every column is text, plus ``source_file``.
 
-    ``path`` is a file, folder or glob; all files must have the same header. Blanks around header
-    names are removed, values are kept as they are, and NA tokens become NULL.
+    ``path`` is a file, folder or glob; all files must have the same header, which is checked if
+    its names are complete and distinct. Blanks around header names are removed, values are kept
+    as they are, and NA tokens become NULL.
 
     ``multi_line`` says whether quoted fields may contain line breaks. Files without them are
     split between tasks; files with them are read by one task each. ``None`` looks which files
@@ -102,9 +120,10 @@ def read_text_csv(
     """
     broken = files_with_breaks(spark, path) if multi_line is None else []
     record_wise = multi_line or bool(broken)
-    header = spark.read.csv(path, **_options(spark, path, record_wise)).columns
-    if not header:
+    first_row = spark.read.csv(path, **_options(spark, path, record_wise)).first()
+    if first_row is None:
         raise ValueError(f"no header row in {path}")
+    header = list(first_row)
 
     rows = _read_checked(spark, path, header, record_wise, pad_short)
     if broken:
@@ -112,7 +131,7 @@ def read_text_csv(
         is_broken = F.col("file_path").isin(broken)
         line_wise = _read_checked(spark, path, header, False, pad_short)
         rows = rows.where(is_broken).union(line_wise.where(~is_broken))
-    names = [c.strip() for c in header]
+    names = _column_names(header)
     renamed = rows.drop("file_path").toDF(*names, "source_file")
     values = [F.when(~_quoted(c).isin(NA_TOKENS), _quoted(c)).alias(c) for c in names]
     return renamed.select(*values, "source_file")

@@ -113,6 +113,11 @@ def test_header_only(spark, csv):
     assert df.columns == ["a", "b", "source_file"] and df.count() == 0
 
 
+def test_empty_file_has_no_header(spark, csv):
+    with pytest.raises(ValueError, match="no header"):
+        read_text_csv(spark, csv(""))
+
+
 def test_folder_of_files_and_source_names(spark, csv):
     csv("a,b\n1,x\n", "one.csv")
     path = csv("a,b\n2,y\n", "two.csv")

@@ -22,11 +22,14 @@ def expected_rows(text):
     return [tuple(None if pd.isna(v) else v for v in row) for row in frame.itertuples(index=False)]
 
 
-def spark_rows(spark, folder, text):
+def spark_frame(spark, folder, text):
     path = folder / "in.csv"
     path.write_bytes(text.encode("utf-8"))
-    df = read_text_csv(spark, str(path)).drop("source_file").coalesce(1)
-    return [tuple(r) for r in df.collect()]
+    return read_text_csv(spark, str(path)).drop("source_file")
+
+
+def spark_rows(spark, folder, text):
+    return [tuple(r) for r in spark_frame(spark, folder, text).coalesce(1).collect()]
 
 
 @settings(
@@ -63,3 +66,14 @@ def test_random_files(spark, tmp_path, rows, quoting, end):
 )
 def test_edge_cases(spark, tmp_path, text):
     assert spark_rows(spark, tmp_path, text) == expected_rows(text)
+
+
+@pytest.mark.parametrize(
+    "header", ["a,b", " a ,b ", "a,a", "b,a", ",b", "a,", '"",b', '"x,y",b', '"x\ny",b', "NA,b", "_c0,"]
+)
+def test_headers(spark, tmp_path, header):
+    text = f"{header}\n1,x\n2,\n"
+    names = [c.strip() for c in pd.read_csv(io.StringIO(text), dtype=str).columns]
+    df = spark_frame(spark, tmp_path, text)
+    assert df.columns == names
+    assert spark_rows(spark, tmp_path, text) == [("1", "x"), ("2", None)]

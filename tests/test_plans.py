@@ -25,6 +25,16 @@ def test_no_python_and_no_cross_join(spark, name):
     assert not re.search(r"Python|Arrow|Pandas|CartesianProduct|NestedLoopJoin", plan)
 
 
+@pytest.mark.parametrize("name", [n for n in NO_WRITES if n.startswith(("kpi", "gold", "star"))])
+def test_shuffle_joins_broadcast_bounded_lists_only(spark, shuffle_joins, name):
+    plan = plan_of(queries()[name](spark, SF_DIR))
+    assert not re.search(r"Python|CartesianProduct|NestedLoopJoin", plan)
+    for exchange in plan.split("BroadcastExchange")[1:]:
+        # The list of hot keys, the hot buckets below it, or the ranks of distinct counts.
+        top = "\n".join(exchange.splitlines()[:4])
+        assert re.search(r"_parts|_most|rank", top), top
+
+
 @pytest.mark.parametrize(
     "name", ["silver_orders", "silver_items", "silver_products", "silver_sellers"]
 )
