@@ -38,10 +38,11 @@ def _line_end(spark: SparkSession, path: str) -> str | None:
     return "\r\n" if header.value.endswith("\r") else None
 
 
-def _too_long(record: Column, n_columns: int) -> Column:
+def _unreadable(record: Column, n_columns: int) -> Column:
+    """True for a record with too many fields or with a quoted field that does not end."""
     unquoted = F.regexp_replace(record, r'"[^"]*"', "")
     n_commas = F.length(unquoted) - F.length(F.translate(unquoted, ",", ""))
-    return n_commas >= n_columns
+    return (n_commas >= n_columns) | unquoted.rlike(r'(^|,)"')
 
 
 def _quoted(name: str) -> Column:
@@ -82,7 +83,7 @@ def _read_checked(
     )
     bad = F.col(_RECORD).isNotNull()
     if pad_short:
-        bad = bad & _too_long(F.col(_RECORD), len(header))
+        bad = bad & _unreadable(F.col(_RECORD), len(header))
     # Spark refuses queries that need nothing but the raw record; the message needs a value too.
     message = F.format_string(
         f"expected {len(header)} fields in %s, got: %s (first value %s)",
@@ -95,7 +96,12 @@ def _read_checked(
 
 
 def _options(spark: SparkSession, path: str, multi_line: bool) -> dict:
-    options = {"quote": '"', "escape": '"', "multiLine": multi_line}
+    options = {
+        "quote": '"',
+        "escape": '"',
+        "multiLine": multi_line,
+        "unescapedQuoteHandling": "RAISE_ERROR",
+    }
     return {**options, "lineSep": _line_end(spark, path)} if multi_line else options
 
 
@@ -115,8 +121,9 @@ def read_text_csv(
     split between tasks; files with them are read by one task each. ``None`` looks which files
     have them, which costs one more pass over the text; pass False where there are none.
 
-    A row with more fields than the header fails the read. A row with fewer is filled with NULL,
-    or fails the read with ``pad_short=False``. The check is part of the plan, not a second pass.
+    A row with more fields than the header fails the read, and so does text after a closing quote.
+    A row with fewer fields is filled with NULL, unless it ends inside a quoted field or
+    ``pad_short`` is off; then it fails too. The check is part of the plan, not a second pass.
     """
     broken = files_with_breaks(spark, path) if multi_line is None else []
     record_wise = multi_line or bool(broken)

@@ -84,6 +84,23 @@ def test_long_row_fails_a_count(spark, csv):
         read_text_csv(spark, csv("a,b,c\n6,a,b,c\n"), multi_line=False).count()
 
 
+@pytest.mark.parametrize("multi_line", [None, True, False])
+def test_unfinished_quote_in_a_short_row_fails(spark, csv, multi_line):
+    with pytest.raises(Exception, match="expected 3 fields"):
+        read_text_csv(spark, csv('a,b,c\n1,"x\n'), multi_line=multi_line).collect()
+
+
+def test_break_in_a_file_declared_line_wise_fails(spark, csv):
+    with pytest.raises(Exception, match="expected 3 fields"):
+        read_text_csv(spark, csv('a,b,c\n1,"x\ny",z\n'), multi_line=False).collect()
+
+
+@pytest.mark.parametrize("multi_line", [None, True, False])
+def test_text_after_a_closing_quote_fails(spark, csv, multi_line):
+    with pytest.raises(Exception, match="(?i)quote"):
+        read_text_csv(spark, csv('a,b\n1,"x"y\n'), multi_line=multi_line).collect()
+
+
 def test_quoted_commas_do_not_make_a_row_long(spark, csv):
     assert rows(read_text_csv(spark, csv('a,b,c\n1,"x,y,z"\n'))) == [
         ("1", "x,y,z", None)
