@@ -29,6 +29,6 @@ def capitalise_words(col: Column) -> Column:
 def category_label(col: Column) -> Column:
     """``moveis_decoracao`` becomes ``Moveis Decoracao``; a missing category gets a label."""
     return F.coalesce(
-        capitalise_words(F.translate(F.lower(col), "_", " ")),
+        capitalise_words(F.replace(col, F.lit("_"), F.lit(" "))),
         F.lit("Sem Categoria"),  # fixed value
     )

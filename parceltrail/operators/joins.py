@@ -67,6 +67,9 @@ def split_join(
     ``count_on`` names a cheaper table with the same keys (or more rows per key) to count on,
     for instance the raw rows below a deduplication.
     """
+    if how not in ("inner", "left"):
+        # Repeated lookup rows without a match would show up once per part.
+        raise ValueError(f"split_join does not support {how!r}")
     hot = F.broadcast(hot_keys(count_on if count_on is not None else large, key, rows_per_part))
     content_hash = F.xxhash64(*large.columns)
     part = (

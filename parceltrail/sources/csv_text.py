@@ -17,6 +17,11 @@ NA_TOKENS = [
 _RECORD = "_raw_record"
 
 
+def _count(text: Column, char: str) -> Column:
+    """Occurrences of an ASCII character; bytes are compared, which needs no decoding."""
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(char), F.lit("")))
+
+
 def files_with_breaks(spark: SparkSession, path: str) -> list[str]:
     """Files in which some physical line holds an odd number of quotes.
 
@@ -24,9 +29,8 @@ def files_with_breaks(spark: SparkSession, path: str) -> list[str]:
     inside an unquoted field does as well; such files are then read record-wise, which is right
     too, only less parallel. The list has at most one entry per input file.
     """
-    quotes = F.length("value") - F.length(F.translate("value", '"', ""))
     lines = spark.read.text(path).select("value", "_metadata.file_path")
-    files = lines.where(quotes % 2 == 1).select("file_path").distinct()
+    files = lines.where(_count(F.col("value"), '"') % 2 == 1).select("file_path").distinct()
     return [row.file_path for row in files.collect()]
 
 
@@ -41,8 +45,7 @@ def _line_end(spark: SparkSession, path: str) -> str | None:
 def _unreadable(record: Column, n_columns: int) -> Column:
     """True for a record with too many fields or with a quoted field that does not end."""
     unquoted = F.regexp_replace(record, r'"[^"]*"', "")
-    n_commas = F.length(unquoted) - F.length(F.translate(unquoted, ",", ""))
-    return (n_commas >= n_columns) | unquoted.rlike(r'(^|,)"')
+    return (_count(unquoted, ",") >= n_columns) | unquoted.rlike(r'(^|,)"')
 
 
 def _quoted(name: str) -> Column:

@@ -70,6 +70,19 @@ def test_split_join_equals_join(spark, shuffle_joins, how, rows_per_part):
     assert sorted(found.collect(), key=str) == sorted(expected.collect(), key=str)
 
 
+def test_split_join_refuses_other_joins(spark):
+    with pytest.raises(ValueError, match="full"):
+        split_join(skewed(spark), spark.range(1).selectExpr("cast(id AS int) AS k"), "k", "full")
+
+
+def test_split_join_with_repeated_lookup_keys(spark, shuffle_joins):
+    large = skewed(spark, 300)
+    lookup = spark.createDataFrame([(7, "x"), (7, "y"), (8, "z")], "k int, w string")
+    found = split_join(large, lookup, "k", "left", rows_per_part=10)
+    expected = large.join(lookup, "k", "left")
+    assert sorted(found.collect(), key=str) == sorted(expected.collect(), key=str)
+
+
 def test_split_join_spreads_the_hot_key(spark, shuffle_joins):
     lookup = spark.range(50).select(F.col("id").cast("int").alias("k"))
     before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
