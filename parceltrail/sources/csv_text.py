@@ -16,6 +16,9 @@ NA_TOKENS = [
 
 _RECORD = "_raw_record"
 
+# If more files than this have line breaks in fields, all files are read record-wise.
+MAX_LISTED_FILES = 1_000
+
 
 def _count(text: Column, char: str) -> Column:
     """Occurrences of an ASCII character; bytes are compared, which needs no decoding."""
@@ -27,11 +30,11 @@ def files_with_breaks(spark: SparkSession, path: str) -> list[str]:
 
     The first line of a record that continues on the next line always does. A lone literal quote
     inside an unquoted field does as well; such files are then read record-wise, which is right
-    too, only less parallel. The list has at most one entry per input file.
+    too, only less parallel. At most one file more than MAX_LISTED_FILES is listed.
     """
     lines = spark.read.text(path).select("value", "_metadata.file_path")
     files = lines.where(_count(F.col("value"), '"') % 2 == 1).select("file_path").distinct()
-    return [row.file_path for row in files.collect()]
+    return [row.file_path for row in files.limit(MAX_LISTED_FILES + 1).collect()]
 
 
 def _line_end(spark: SparkSession, path: str) -> str | None:
@@ -136,7 +139,7 @@ def read_text_csv(
     header = list(first_row)
 
     rows = _read_checked(spark, path, header, record_wise, pad_short)
-    if broken:
+    if 0 < len(broken) <= MAX_LISTED_FILES:
         # The filters select whole files, so each file is read by one of the two scans only.
         is_broken = F.col("file_path").isin(broken)
         line_wise = _read_checked(spark, path, header, False, pad_short)

@@ -142,7 +142,16 @@ def test_folder_of_files_and_source_names(spark, csv):
     assert found == {"1": "one.csv", "2": "two.csv"}
 
 
-def test_only_files_with_breaks_are_read_whole(spark, csv, monkeypatch):
+def test_many_files_with_breaks_are_all_read_whole(spark, csv, monkeypatch):
+    monkeypatch.setattr("parceltrail.sources.csv_text.MAX_LISTED_FILES", 1)
+    csv('a,b\n1,"x\ny"\n', "one.csv")
+    csv('a,b\n2,"x\ny"\n', "two.csv")
+    df = read_text_csv(spark, csv("a,b\n3,z\n", "three.csv"))
+    assert rows(df) == [("1", "x\ny"), ("2", "x\ny"), ("3", "z")]
+    assert df._jdf.queryExecution().executedPlan().collectLeaves().size() == 1
+
+
+def test_only_files_with_breaks_are_read_whole(spark, csv):
     csv('a,b\n1,"x\ny"\n', "one file%20.csv")
     path = csv("a,b\n2,z\n3,w\n", "two.csv")
     df = read_text_csv(spark, path)
