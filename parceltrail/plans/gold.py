@@ -11,7 +11,7 @@ from parceltrail.operators.joins import lookup_join
 from parceltrail.operators.series import daily_series
 
 
-def orders_fact(
+def delivered_items(
     items: DataFrame, orders: DataFrame, count_on: DataFrame | None = None
 ) -> DataFrame:
     """Items of delivered orders with the delivery outcome of their order.
@@ -27,6 +27,7 @@ def orders_fact(
     )
     return lookup_join(wanted, delivered, "order_id", "inner", count_on).select(
         "order_id",
+        "order_item_id",
         "product_id",
         "seller_id",
         "purchase_timestamp",
@@ -38,6 +39,13 @@ def orders_fact(
     )
 
 
+def orders_fact(
+    items: DataFrame, orders: DataFrame, count_on: DataFrame | None = None
+) -> DataFrame:
+    """One row per item of a delivered order, without the item's number."""
+    return delivered_items(items, orders, count_on).drop("order_item_id")
+
+
 def dim_sellers(sellers: DataFrame) -> DataFrame:
     return sellers.select("seller_id", "city", "state", region_of(F.col("state")).alias("region"))
 
@@ -79,7 +87,9 @@ def wide_fact(
 ) -> DataFrame:
     """The fact with the attributes of all its dimensions; NULL where a dimension row is missing.
 
-    The fact has no day key; it is derived from the time of purchase.
+    The fact has no day key; it is derived from the time of purchase. ``delivered_items`` may be
+    passed instead of the fact: its item number tells apart copies that are equal in the fact,
+    so that a shuffle join can divide them.
     """
     with_products = lookup_join(fact, dim_products, "product_id", "left", count_on)
     with_sellers = lookup_join(with_products, dim_sellers, "seller_id", "left", count_on)

@@ -59,13 +59,17 @@ def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw_items = raw.raw_items(spark, sf_dir)
+    delivered = gold.delivered_items(
+        silver.orders_items(raw_items), orders(spark, sf_dir), count_on=raw_items
+    )
     return gold.wide_fact(
-        fact(spark, sf_dir),
+        delivered,
         dim_products(spark, sf_dir),
         dim_sellers(spark, sf_dir),
-        dim_date(spark, sf_dir),
-        count_on=raw.raw_items(spark, sf_dir),
-    )
+        gold.dim_date(delivered),
+        count_on=raw_items,
+    ).drop("order_item_id")
 
 
 def dim_date_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
