@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parceltrail.sources.csv_text import read_text_csv
+from parceltrail.sources.csv_text import quoted, read_text_csv
 
 # Table -> file pattern below the data folder.
 SOURCES = {
@@ -22,9 +22,11 @@ SOURCES = {
 def load_csv(
     spark: SparkSession, path: str, run_ts: datetime | None = None, **csv_options: bool | None
 ) -> DataFrame:
-    """Text columns of the files at ``path``, then ``ingestion_date`` and ``source_file``."""
+    """Text columns of the files at ``path``, then ``ingestion_date`` and ``source_file``.
+
+    Columns of these two names in the files, as in an exported raw table, are replaced.
+    """
     rows = read_text_csv(spark, path, **csv_options)
     now = F.lit(str(run_ts)).cast("timestamp_ntz") if run_ts else F.localtimestamp()
-    return rows.withColumn("ingestion_date", now).select(
-        *[c for c in rows.columns if c != "source_file"], "ingestion_date", "source_file"
-    )
+    values = [c for c in rows.columns if c.lower() not in ("ingestion_date", "source_file")]
+    return rows.select(*map(quoted, values), now.alias("ingestion_date"), "source_file")

@@ -15,6 +15,8 @@ NA_TOKENS = [
 ]
 
 _RECORD = "_raw_record"
+_FILE_NAME = "_file_name"
+_FILE_PATH = "_file_path"
 
 # If more files than this have line breaks in fields, all files are read record-wise.
 MAX_LISTED_FILES = 1_000
@@ -51,7 +53,8 @@ def _unreadable(record: Column, n_columns: int) -> Column:
     return (_count(unquoted, ",") >= n_columns) | unquoted.rlike(r'(^|,)"')
 
 
-def _quoted(name: str) -> Column:
+def quoted(name: str) -> Column:
+    """The column of this very name, dots and backticks included."""
     return F.col("`" + name.replace("`", "``") + "`")
 
 
@@ -69,7 +72,7 @@ def _column_names(header: list[str | None]) -> list[str]:
 def _read_checked(
     spark: SparkSession, path: str, header: list[str | None], multi_line: bool, pad_short: bool
 ) -> DataFrame:
-    """Text columns, ``source_file`` and ``file_path``; rows of a wrong width fail the read."""
+    """Text columns, file name and file path; rows of a wrong width fail the read."""
     # Spark compares the header of every file with the schema, for which it needs distinct names.
     comparable = all(header) and len({cell.lower() for cell in header}) == len(header)
     columns = header if comparable else [f"_c{i}" for i in range(len(header))]
@@ -85,7 +88,11 @@ def _read_checked(
             enforceSchema=not comparable,
             **_options(spark, path, multi_line),
         )
-        .select("*", F.col("_metadata.file_name").alias("source_file"), "_metadata.file_path")
+        .select(
+            "*",
+            F.col("_metadata.file_name").alias(_FILE_NAME),
+            F.col("_metadata.file_path").alias(_FILE_PATH),
+        )
     )
     bad = F.col(_RECORD).isNotNull()
     if pad_short:
@@ -93,9 +100,9 @@ def _read_checked(
     # Spark refuses queries that need nothing but the raw record; the message needs a value too.
     message = F.format_string(
         f"expected {len(header)} fields in %s, got: %s (first value %s)",
-        F.col("source_file"),
+        F.col(_FILE_NAME),
         F.col(_RECORD),
-        _quoted(columns[0]),
+        quoted(columns[0]),
     )
     checked = rows.where(F.when(bad, F.raise_error(message).cast("boolean")).otherwise(True))
     return checked.drop(_RECORD)
@@ -141,10 +148,14 @@ def read_text_csv(
     rows = _read_checked(spark, path, header, record_wise, pad_short)
     if 0 < len(broken) <= MAX_LISTED_FILES:
         # The filters select whole files, so each file is read by one of the two scans only.
-        is_broken = F.col("file_path").isin(broken)
+        is_broken = F.col(_FILE_PATH).isin(broken)
         line_wise = _read_checked(spark, path, header, False, pad_short)
         rows = rows.where(is_broken).union(line_wise.where(~is_broken))
     names = _column_names(header)
-    renamed = rows.drop("file_path").toDF(*names, "source_file")
-    values = [F.when(~_quoted(c).isin(NA_TOKENS), _quoted(c)).alias(c) for c in names]
-    return renamed.select(*values, "source_file")
+    renamed = rows.drop(_FILE_PATH).toDF(*names, _FILE_NAME)
+    values = [
+        F.when(~quoted(c).isin(NA_TOKENS), quoted(c)).alias(c)
+        for c in names
+        if c.lower() != "source_file"  # replaced by the audit column
+    ]
+    return renamed.select(*values, F.col(_FILE_NAME).alias("source_file"))

@@ -152,8 +152,8 @@ def test_many_files_with_breaks_are_all_read_whole(spark, csv, monkeypatch):
 
 
 def test_only_files_with_breaks_are_read_whole(spark, csv):
-    csv('a,b\n1,"x\ny"\n', "one file%20.csv")
-    path = csv("a,b\n2,z\n3,w\n", "two.csv")
+    csv('a,file_path\n1,"x\ny"\n', "one file%20.csv")
+    path = csv("a,file_path\n2,z\n3,w\n", "two.csv")
     df = read_text_csv(spark, path)
     assert rows(df) == [("1", "x\ny"), ("2", "z"), ("3", "w")]
     plan = df._jdf.queryExecution().executedPlan()
@@ -180,3 +180,9 @@ def test_audit_columns(spark, csv):
     assert dict(df.dtypes)["ingestion_date"] == "timestamp_ntz"
     assert tuple(df.first()) == ("1", now, "in.csv")
     assert load_csv(spark, csv("a\n1\n")).first().ingestion_date.year >= 2024
+
+
+def test_audit_columns_of_the_file_are_replaced(spark, csv):
+    df = load_csv(spark, csv("ingestion_date,a.b,source_file\nold,1,old.csv\n"), datetime(2020, 5, 17))
+    assert df.columns == ["a.b", "ingestion_date", "source_file"]
+    assert tuple(df.first()) == ("1", datetime(2020, 5, 17), "in.csv")
