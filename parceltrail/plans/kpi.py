@@ -17,10 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parceltrail.functions.calendar import date_id
-from parceltrail.operators.joins import fits_broadcast, lookup_join
+from parceltrail.operators.joins import fits_broadcast, split_join
 from parceltrail.operators.ranking import rank_by_count, top_by_count
 
-
 # Order-level measures, each with an aggregate that may be applied again to its own result.
 _OUTCOME = {"is_late": F.max, "delay_days": F.max}
 
@@ -60,11 +59,11 @@ def _attach(
     no group of copies is left which a split by content could not divide.
     """
     dim = dim.select(key, *attributes)
-    if count_on is None:
-        count_on = lines
-    if not fits_broadcast(dim):
-        lines = lines.groupBy(*[c for c in lines.columns if c not in measures]).agg(*_fold(measures))
-    return lookup_join(lines, dim, key, "left", count_on)
+    if fits_broadcast(dim):
+        return lines.join(dim, key, "left")
+    others = [c for c in lines.columns if c not in measures]
+    folded = lines.groupBy(*others).agg(*_fold(measures))
+    return split_join(folded, dim, key, "left", lines if count_on is None else count_on)
 
 
 def _orders_by(
