@@ -4,6 +4,8 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from parceltrail.plans import gold, kpi
 
@@ -129,3 +131,59 @@ def test_late_by_size(star):
         1: (1, 1, 1, Decimal("2.00")),
         None: (1, 0, 1, Decimal("4.00")),
     }
+
+
+outcomes = st.lists(st.none() | st.integers(-3, 3), min_size=1, max_size=6)
+lines = st.lists(
+    st.tuples(st.integers(0, 5), st.none() | st.integers(0, 3), st.none() | st.integers(0, 3)),
+    max_size=30,
+)
+
+
+@pytest.mark.parametrize("join", ["broadcast", "shuffle"])
+@settings(
+    max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(delays=outcomes, lines=lines)
+def test_reports_equal_plain_python(spark, request, join, delays, lines):
+    """Random orders and items; product and seller 3 have no dimension row."""
+    if join == "shuffle":
+        request.getfixturevalue("shuffle_joins")
+    rows = [
+        (f"o{o}", p, s, delays[o], (delays[o] or 0) > 0) for o, p, s in lines if o < len(delays)
+    ]
+    fact = spark.createDataFrame(
+        rows, "order_id string, product_id int, seller_id int, delay_days int, is_late boolean"
+    )
+    categories, regions = {0: "A", 1: "A", 2: "B"}, {0: "X", 1: None, 2: "X"}
+    products = spark.createDataFrame(
+        list(categories.items()), "product_id int, product_category string"
+    )
+    sellers = spark.createDataFrame(list(regions.items()), "seller_id int, region string")
+
+    def expected(attribute):
+        groups = {}
+        for row in rows:
+            groups.setdefault(attribute(row), {})[row[0]] = row[4]
+        return {key: (len(orders), sum(orders.values())) for key, orders in groups.items()}
+
+    def found(report, key):
+        return by(report, key, "n_orders", "n_late")
+
+    by_category = expected(lambda r: categories.get(r[1]))
+    by_region = expected(lambda r: regions.get(r[2]))
+    by_seller = expected(lambda r: r[2])
+    assert found(kpi.late_by_category(fact, products), "product_category") == by_category
+    assert found(kpi.late_by_region(fact, sellers), "region") == by_region
+    assert found(kpi.late_by_seller(fact), "seller_id") == by_seller
+    together = kpi.late_by_all(fact, products, sellers).collect()
+    for breakdown, key, counts in (
+        ("category", "product_category", by_category),
+        ("region", "region", by_region),
+        ("seller", "seller_id", by_seller),
+    ):
+        part = {r[key]: (r.n_orders, r.n_late) for r in together if r.breakdown == breakdown}
+        assert part == counts
+    order = kpi.sla(fact).first()
+    late = {r[0]: r[4] for r in rows}
+    assert (order.n_orders, order.n_late) == (len(late), sum(late.values()))
