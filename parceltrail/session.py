@@ -36,7 +36,11 @@ def require_ansi(spark: SparkSession) -> None:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """Fresh folder below the shared folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only where that setting is absent, as in a single-machine test, a local folder is made.
+    Only a single-machine session may do without that setting; it gets a temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="parceltrail-")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder all executors can reach")
+        root = tempfile.mkdtemp(prefix="parceltrail-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

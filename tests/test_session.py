@@ -1,5 +1,7 @@
 """Session helpers."""
 
+from types import SimpleNamespace
+
 import pytest
 
 from parceltrail.session import require_ansi, scratch_dir
@@ -11,6 +13,19 @@ def test_scratch_lies_in_the_shared_folder(spark):
     assert first.startswith(f"{shared}/x-") and first != second
 
 
+@pytest.mark.parametrize("master", ["local[4]", "yarn"])
+def test_only_one_machine_may_use_a_temporary_folder(master):
+    class Session:
+        conf = {}
+        sparkContext = SimpleNamespace(master=master)
+
+    if master == "yarn":
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_dir(Session, "x")
+    else:
+        assert "parceltrail-" in scratch_dir(Session, "x")
+
+
 def test_ansi_is_required(spark):
     require_ansi(spark)
     spark.conf.set("spark.sql.ansi.enabled", "false")
