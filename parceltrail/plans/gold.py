@@ -94,4 +94,6 @@ def wide_fact(
     with_products = lookup_join(fact, dim_products, "product_id", "left", count_on)
     with_sellers = lookup_join(with_products, dim_sellers, "seller_id", "left", count_on)
     day = cal.date_id(F.col("purchase_timestamp")).alias("date_id")
-    return lookup_join(with_sellers.select("*", day), dim_date, "date_id", "left")
+    return lookup_join(
+        with_sellers.select("*", day), dim_date, "date_id", "left", count_on=fact.select(day)
+    )
