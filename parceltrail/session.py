@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -36,11 +35,9 @@ def require_ansi(spark: SparkSession) -> None:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """Fresh folder below the shared folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only a single-machine session may do without that setting; it gets a temporary folder.
+    Without that setting the folder lies below the warehouse, which every session has and a cluster shares.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="parceltrail-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -1,7 +1,5 @@
 """Session helpers."""
 
-from types import SimpleNamespace
-
 import pytest
 
 from parceltrail.session import require_ansi, scratch_dir
@@ -13,17 +11,11 @@ def test_scratch_lies_in_the_shared_folder(spark):
     assert first.startswith(f"{shared}/x-") and first != second
 
 
-@pytest.mark.parametrize("master", ["local[4]", "yarn"])
-def test_only_one_machine_may_use_a_temporary_folder(master):
+def test_scratch_lies_below_the_warehouse_if_no_folder_is_named():
     class Session:
-        conf = {}
-        sparkContext = SimpleNamespace(master=master)
-
-    if master == "yarn":
-        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-            scratch_dir(Session, "x")
-    else:
-        assert "parceltrail-" in scratch_dir(Session, "x")
+        conf = {"spark.sql.warehouse.dir": "hdfs://store/warehouse/"}
+
+    assert scratch_dir(Session, "x").startswith("hdfs://store/warehouse/_scratch/x-")
 
 
 def test_ansi_is_required(spark):
