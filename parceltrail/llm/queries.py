@@ -5,9 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from parceltrail.llm import sharding
+from parceltrail.llm import mixing, sharding
 from parceltrail.llm.common import table
+from parceltrail.llm.oracle import ORACLE
+
+
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.withColumn("probability", F.round("probability", 6))
 
 
 def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,7 +22,8 @@ def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mix_sources": op1_mix_sources,
     "op9_shards": op9_shards,
 }
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
