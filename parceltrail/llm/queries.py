@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parceltrail.llm import mixing, sharding
+from parceltrail.llm import langid, mixing, sharding
 from parceltrail.llm.common import table
 from parceltrail.llm.oracle import ORACLE
 
@@ -21,9 +21,14 @@ def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(table(spark, sf_dir, "documents"))
 
 
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op9_shards": op9_shards,
+    "op10_langid": op10_langid,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
