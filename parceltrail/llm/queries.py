@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parceltrail.llm import langid, mixing, sharding, simhash
+from parceltrail.llm import langid, mixing, packing, sharding, simhash
 from parceltrail.llm.common import table
 from parceltrail.llm.oracle import ORACLE
 
@@ -21,6 +21,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(table(spark, sf_dir, "documents"))
 
 
+def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(table(spark, sf_dir, "documents"))
+
+
 def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(table(spark, sf_dir, "documents"))
 
@@ -32,6 +36,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op4_simhash": op4_simhash,
+    "op5_pack": op5_pack,
     "op9_shards": op9_shards,
     "op10_langid": op10_langid,
 }
