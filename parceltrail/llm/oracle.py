@@ -50,14 +50,14 @@ FROM rated
 
 TOP_K = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
 ),
 scored AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_sum(list_transform(
-    list_zip(q.v, c.v), p -> p[1] * p[2])) AS BIGINT) AS score
+    list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
   FROM v AS q JOIN v AS c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
 )
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parceltrail.llm import langid, mixing, packing, sharding, simhash, va_file
+from parceltrail.llm import langid, mixing, packing, rp_forest, sharding, simhash, va_file
 from parceltrail.llm.common import table
 from parceltrail.llm.oracle import ORACLE
 
@@ -25,6 +25,10 @@ def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(table(spark, sf_dir, "documents"))
 
 
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rp_forest.digest(table(spark, sf_dir, "embeddings"))
+
+
 def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return va_file.digest(table(spark, sf_dir, "embeddings"))
 
@@ -41,6 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op4_simhash": op4_simhash,
     "op5_pack": op5_pack,
+    "op6_ann": op6_ann,
     "op7_exact_topk": op7_exact_topk,
     "op9_shards": op9_shards,
     "op10_langid": op10_langid,
