@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parceltrail.llm import langid, mixing, packing, rp_forest, sharding, simhash, va_file
+from parceltrail.llm import langid, mixing, packing, rp_forest, sharding, simhash, suffix, va_file
 from parceltrail.llm.common import table
 from parceltrail.llm.oracle import ORACLE
 
@@ -33,6 +33,10 @@ def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return va_file.digest(table(spark, sf_dir, "embeddings"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.digest(table(spark, sf_dir, "documents"))
+
+
 def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pack": op5_pack,
     "op6_ann": op6_ann,
     "op7_exact_topk": op7_exact_topk,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_shards": op9_shards,
     "op10_langid": op10_langid,
 }
