@@ -166,10 +166,11 @@ def train(documents: DataFrame, clusters: int = CLUSTERS, sample: int = SAMPLE)
         return Model([], np.zeros((0, DIMS)), 0.0, np.ones(DIMS))
     idf = (np.log((1 + n) / (1 + seen)) + 1).astype(np.float32)
 
-    counts = training.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    # As many counts as languages; as literals they make the draw a filter of the scan, before any shuffle.
+    counts = training.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], sample / r["n"])])
     draw = F.pmod(F.xxhash64(F.lit(17), "doc_id"), F.lit(1 << 20)) / float(1 << 20)
-    # As large as the label set; Catalyst and AQE pick the join.
-    drawn = training.join(counts, "lang").where(draw < F.lit(float(sample)) / F.col("_n")).select("lang", "text")
+    drawn = training.where(draw < share[F.col("lang")]).select("lang", "text")
 
     def fit(key, rows: pd.DataFrame) -> pd.DataFrame:
         texts = [t.encode() for t in rows["text"].fillna("").sort_values()]
