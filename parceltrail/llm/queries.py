@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parceltrail.llm import langid, mixing, packing, quality, rp_forest, sharding, simhash, suffix, va_file
+from parceltrail.llm import langid, mixing, neural_lm, packing, quality, rp_forest, sharding, simhash, suffix, va_file
 from parceltrail.llm.common import table
 from parceltrail.llm.oracle import ORACLE
 
@@ -17,6 +17,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.withColumn("probability", F.round("probability", 6))
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neural_lm.digest(table(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -51,6 +55,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_lm_score": op2_lm_score,
     "op3_quality": op3_quality,
     "op4_simhash": op4_simhash,
     "op5_pack": op5_pack,
