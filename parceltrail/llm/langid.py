@@ -172,7 +172,7 @@ def train(documents: DataFrame, clusters: int = CLUSTERS, sample: int = SAMPLE)
     draw = F.pmod(F.xxhash64(F.lit(17), "doc_id"), F.lit(1 << 20)) / float(1 << 20)
     drawn = training.where(draw < share[F.col("lang")]).select("lang", "text")
 
-    def fit(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         texts = [t.encode() for t in rows["text"].fillna("").sort_values()]
         points = np.concatenate([vectors(texts[a:b], idf) for a, b in groups(texts)])
         points = points[np.linalg.norm(points, axis=1) > 0]

@@ -230,7 +230,7 @@ STATE = f"{PIECE}, has_id boolean, island long, bin long, pattern array<int>"
 def _epoch(state: DataFrame, islands: int, epoch: int, capacity: int) -> DataFrame:
     """Evolve every island once; returns its pieces with their bins and the patterns for the next island."""
 
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         here = int(key[0])
         sent = rows["length"] == 0
         patterns = sorted({tuple(int(x) for x in p) for p in rows["pattern"][sent]})

@@ -124,7 +124,7 @@ class Forest:
 
 def build(vectors: DataFrame, blocks: int, trees: int = TREES, leaf: int = LEAF) -> DataFrame:
     """One row for each block: its ids, vectors and forest as bytes."""
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("vec_id", kind="stable")
         x, ids = np.stack(rows["v"]), rows["vec_id"].to_numpy(np.int64)
         forest = Forest(x, trees, leaf, seed=int(key[1]))
