@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from collections import Counter
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,33 +20,82 @@ _RECORD = "_raw_record"
 _FILE_NAME = "_file_name"
 _FILE_PATH = "_file_path"
 
-# If more files than this have line breaks in fields, all files are read record-wise.
-MAX_LISTED_FILES = 1_000
-
 
 def _count(text: Column, char: str) -> Column:
     """Occurrences of an ASCII character; bytes are compared, which needs no decoding."""
     return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(char), F.lit("")))
 
 
-def files_with_breaks(spark: SparkSession, path: str) -> list[str]:
-    """Files in which some physical line holds an odd number of quotes.
+def _odd_quotes(line: Column) -> Column:
+    """True if some piece of the line, which a carriage return may divide, has an odd number of quotes."""
+    text = F.rtrim(line, F.lit("\r"))
+    divided = F.exists(F.split(text, "\r"), lambda piece: _count(piece, '"') % 2 == 1)
+    return F.when(F.contains(text, F.lit("\r")), divided).otherwise(_count(text, '"') % 2 == 1)
+
+
+@dataclass
+class Look:
+    """What one pass over the text tells of the files."""
 
-    The first line of a record that continues on the next line always does. A lone literal quote
-    inside an unquoted field does as well; such files are then read record-wise, which is right
-    too, only less parallel. At most one file more than MAX_LISTED_FILES is listed.
+    # (physical first line of a file, the file), for two different lines at most.
+    headers: list[tuple[str, str]] = field(default_factory=list)
+    # Files to read record by record, by the end of their lines.
+    record_wise: dict[str, list[str]] = field(default_factory=dict)
+    # Files to read line by line.
+    any_line_wise: bool = False
+
+
+def look_at_files(spark: SparkSession, path: str, multi_line: bool | None = None) -> Look:
+    """Header of the files, the ends of their lines, and which may have line breaks in fields.
+
+    The first line of a record that goes on in the next line always has an odd number of quotes. A lone literal
+    quote inside an unquoted field does as well; such files are then read record-wise, which is right
+    too, only less parallel. The driver gets the names of the record-wise files, which it lists anyway,
+    and not more than two headers.
     """
-    lines = spark.read.text(path).select("value", "_metadata.file_path")
-    files = lines.where(_count(F.col("value"), '"') % 2 == 1).select("file_path").distinct()
-    return [row.file_path for row in files.limit(MAX_LISTED_FILES + 1).collect()]
+    lines = spark.read.text(path, lineSep="\n").select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        (F.col("_metadata.file_block_start") == 0).alias("at_start"),
+        F.monotonically_increasing_id().alias("at"),
+    )
+    # A file may end its lines with CR only; then it is one line here, of which the driver sees the first piece.
+    at_cr = F.instr("value", "\r")
+    end = F.when(at_cr == 0, "\n").when(at_cr == F.length("value"), "\r\n").otherwise("\r")
+    # An empty file has no line, so it has no header here and no end.
+    first = F.struct(F.substring_index("value", "\r", 1).alias("header"), end.alias("end"))
+    files = lines.groupBy("file").agg(
+        F.min_by(F.when(F.col("at_start"), first), F.when(F.col("at_start"), F.col("at"))).alias("first"),
+        F.max(_odd_quotes(F.col("value"))).alias("broken"),
+    )
+    files = files.select("file", "first.header", "first.end", F.lit(True) if multi_line else "broken").toDF(
+        "file", "header", "end", "broken"
+    )
+    if multi_line is False:
+        files = files.withColumn("broken", F.lit(False))
+    found = Look()
+    per_header = files.groupBy("header").agg(F.min("file").alias("file"), F.max(~F.col("broken")).alias("plain"))
+    rows = per_header.orderBy("file").limit(2).collect()
+    found.headers = [(r.header, r.file) for r in rows]
+    found.any_line_wise = any(r.plain for r in rows)
+    for row in files.where("broken").groupBy("end").agg(F.sort_array(F.collect_list("file")).alias("files")).collect():
+        found.record_wise[row.end] = row.files
+    return found
+
+
+def files_with_breaks(spark: SparkSession, path: str) -> list[str]:
+    """Files in which some physical line holds an odd number of quotes."""
+    return sorted(f for files in look_at_files(spark, path).record_wise.values() for f in files)
 
 
-def _line_end(spark: SparkSession, path: str) -> str | None:
-    """Line end of the header. Left to itself, record-wise reading turns CRLF in quotes into LF."""
-    header = spark.read.text(path, lineSep="\n").first()
-    if header is None or "\r" not in header.value:
-        return "\n"
-    return "\r\n" if header.value.endswith("\r") else None
+def _check_headers(headers: list[tuple[str, str]]) -> None:
+    """All files must have the same names, whatever their quotes."""
+    if len(headers) < 2:
+        return
+    (one, first), (two, second) = headers
+    names = [[c.strip() for c in next(csv.reader([h.removeprefix("\ufeff")]), [])] for h in (one, two)]
+    if names[0] != names[1]:
+        raise ValueError(f"different headers: {one!r} in {first}, {two!r} in {second}")
 
 
 def _unreadable(record: Column, n_columns: int) -> Column:
@@ -70,7 +121,7 @@ def _column_names(header: list[str | None]) -> list[str]:
 
 
 def _read_checked(
-    spark: SparkSession, path: str, header: list[str | None], multi_line: bool, pad_short: bool
+    spark: SparkSession, path: str, header: list[str | None], options: dict, pad_short: bool
 ) -> DataFrame:
     """Text columns, file name and file path; rows of a wrong width fail the read."""
     # Spark compares the header of every file with the schema, for which it needs distinct names.
@@ -86,7 +137,7 @@ def _read_checked(
             header=True,
             columnNameOfCorruptRecord=_RECORD,
             enforceSchema=not comparable,
-            **_options(spark, path, multi_line),
+            **options,
         )
         .select(
             "*",
@@ -104,18 +155,28 @@ def _read_checked(
         F.col(_RECORD),
         quoted(columns[0]),
     )
-    checked = rows.where(F.when(bad, F.raise_error(message).cast("boolean")).otherwise(True))
-    return checked.drop(_RECORD)
+    check = F.when(bad, F.raise_error(message).cast("boolean"))
+    if options.get("lineSep") == "\n":
+        mixed = F.format_string("lines end in LF and in CRLF in %s", F.col(_FILE_NAME))
+        check = check.when(F.endswith(quoted(columns[-1]), F.lit("\r")), F.raise_error(mixed).cast("boolean"))
+    return rows.where(check.otherwise(True)).drop(_RECORD)
 
 
-def _options(spark: SparkSession, path: str, multi_line: bool) -> dict:
+def _options(multi_line: bool, line_end: str | None = None) -> dict:
     options = {
         "quote": '"',
         "escape": '"',
         "multiLine": multi_line,
         "unescapedQuoteHandling": "RAISE_ERROR",
     }
-    return {**options, "lineSep": _line_end(spark, path)} if multi_line else options
+    # Left to itself, record-wise reading turns CRLF in quotes into LF.
+    return {**options, "lineSep": line_end} if multi_line and line_end else options
+
+
+def _header(spark: SparkSession, path: str, file: str, options: dict) -> list[str | None] | None:
+    rows = spark.read.csv(path, **options).where(F.col("_metadata.file_path") == file)
+    row = rows.first()
+    return list(row) if row else None
 
 
 def read_text_csv(
@@ -126,31 +187,50 @@ def read_text_csv(
 ) -> DataFrame:
     """Read CSV with a header row; every column is text, plus ``source_file``.
 
-    ``path`` is a file, folder or glob; all files must have the same header, which is checked if
-    its names are complete and distinct. Blanks around header names are removed, values are kept
-    as they are, and NA tokens become NULL.
+    ``path`` is a file, folder or glob; all files must have the same header, or the read fails with the names of two
+    that differ. Blanks around header names are removed, values are kept as they are, and NA tokens become NULL.
 
     ``multi_line`` says whether quoted fields may contain line breaks. Files without them are
-    split between tasks; files with them are read by one task each. ``None`` looks which files
-    have them, which costs one more pass over the text; pass False where there are none.
+    split between tasks; files with them are read by one task each, each with its own line end, so
+    a folder may hold LF and CRLF files. One pass over the text finds out which are which. ``None`` looks which files
+    have breaks; False says that there are none, which saves the pass if the header's names are complete
+    and distinct. A record-wise file that mixes line ends fails.
 
     A row with more fields than the header fails the read, and so does text after a closing quote.
     A row with fewer fields is filled with NULL, unless it ends inside a quoted field or
     ``pad_short`` is off; then it fails too. The check is part of the plan, not a second pass.
     """
-    broken = files_with_breaks(spark, path) if multi_line is None else []
-    record_wise = multi_line or bool(broken)
-    first_row = spark.read.csv(path, **_options(spark, path, record_wise)).first()
-    if first_row is None:
+    if multi_line is False:
+        first = spark.read.csv(path, **_options(False)).first()
+        header = list(first) if first else None
+        if header and (not all(header) or len({c.lower() for c in header}) < len(header)):
+            # Spark can't compare such names itself.
+            _check_headers(look_at_files(spark, path, False).headers)
+        look = Look(any_line_wise=True)
+    else:
+        look = look_at_files(spark, path, multi_line)
+        _check_headers(look.headers)
+        header = None
+        if look.headers:
+            file = look.headers[0][1]
+            ends = [end for end, files in look.record_wise.items() if file in files]
+            header = _header(spark, path, file, _options(True, ends[0]) if ends else _options(False))
+    if header is None:
         raise ValueError(f"no header row in {path}")
-    header = list(first_row)
-
-    rows = _read_checked(spark, path, header, record_wise, pad_short)
-    if 0 < len(broken) <= MAX_LISTED_FILES:
-        # The filters select whole files, so each file is read by one of the two scans only.
-        is_broken = F.col(_FILE_PATH).isin(broken)
-        line_wise = _read_checked(spark, path, header, False, pad_short)
-        rows = rows.where(is_broken).union(line_wise.where(~is_broken))
+
+    # The filters select whole files, so each file is read by one of the scans only.
+    parts = []
+    listed = [f for files in look.record_wise.values() for f in files]
+    if look.any_line_wise:
+        line_wise = _read_checked(spark, path, header, _options(False), pad_short)
+        parts.append(line_wise.where(~F.col(_FILE_PATH).isin(listed)) if listed else line_wise)
+    for end, files in sorted(look.record_wise.items()):
+        some = _read_checked(spark, path, header, _options(True, end), pad_short)
+        alone = not look.any_line_wise and len(look.record_wise) == 1
+        parts.append(some if alone else some.where(F.col(_FILE_PATH).isin(files)))
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.union(part)
     names = _column_names(header)
     renamed = rows.drop(_FILE_PATH).toDF(*names, _FILE_NAME)
     values = [

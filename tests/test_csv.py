@@ -1,7 +1,9 @@
 """All-text CSV reading."""
 
+import io
 from datetime import datetime
 
+import pandas as pd
 import pytest
 
 from parceltrail.plans.bronze import load_csv
@@ -142,13 +144,53 @@ def test_folder_of_files_and_source_names(spark, csv):
     assert found == {"1": "one.csv", "2": "two.csv"}
 
 
-def test_many_files_with_breaks_are_all_read_whole(spark, csv, monkeypatch):
-    monkeypatch.setattr("parceltrail.sources.csv_text.MAX_LISTED_FILES", 1)
-    csv('a,b\n1,"x\ny"\n', "one.csv")
-    csv('a,b\n2,"x\ny"\n', "two.csv")
-    df = read_text_csv(spark, csv("a,b\n3,z\n", "three.csv"))
-    assert rows(df) == [("1", "x\ny"), ("2", "x\ny"), ("3", "z")]
-    assert df._jdf.queryExecution().executedPlan().collectLeaves().size() == 1
+@pytest.mark.parametrize("multi_line", [None, True])
+@pytest.mark.parametrize("long_first", [True, False])
+def test_files_with_different_line_ends(spark, tmp_path, multi_line, long_first):
+    long = "".join(f'{i},"x\ny {i}"\n' for i in range(60))
+    files = {
+        "a.csv": "a,b\n" + (long if long_first else '1,"x\ny"\n'),
+        "b.csv": "a,b\r\n" + ('2,"p\r\nq"\r\n' if long_first else long.replace("\n", "\r\n")),
+        "c.csv": "a,b\r\n3,z\r\n",
+        "d.csv": "a,b\n4,w\n",
+        "e.csv": "a,b\r5,v\r",
+    }
+    for name, text in files.items():
+        (tmp_path / name).write_bytes(text.encode())
+    found = read_text_csv(spark, str(tmp_path), multi_line=multi_line)
+    assert found.columns == ["a", "b", "source_file"]
+    expected = []
+    for name, text in files.items():
+        frame = pd.read_csv(io.StringIO(text, newline=""), dtype=str)
+        expected += [(a, b, name) for a, b in frame.itertuples(index=False)]
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+
+
+def test_many_files_with_breaks_and_one_clean_file(spark, tmp_path):
+    for i in range(30):
+        (tmp_path / f"{i}.csv").write_bytes(f'a,b\n{i},"x\ny"\n'.encode())
+    (tmp_path / "clean.csv").write_bytes(b"a,b\r\n99,z\r\n")
+    assert read_text_csv(spark, str(tmp_path)).count() == 31
+
+
+def test_a_file_that_mixes_line_ends_fails_by_name(spark, tmp_path):
+    (tmp_path / "mixed.csv").write_bytes(b'a,b\n1,"x\ny"\n2,z\r\n')
+    with pytest.raises(Exception, match="LF and in CRLF in mixed.csv"):
+        read_text_csv(spark, str(tmp_path)).collect()
+
+
+@pytest.mark.parametrize("multi_line", [None, True, False])
+def test_repeated_names_in_another_order_fail_by_name(spark, csv, multi_line):
+    csv("a,a,c\n1,2,3\n", "one.csv")
+    path = csv("c,a,a\n1,2,3\n", "two.csv")
+    with pytest.raises(ValueError, match="one.csv.*two.csv"):
+        read_text_csv(spark, path, multi_line=multi_line)
+
+
+def test_headers_may_differ_in_quotes(spark, csv):
+    csv("a,b\n1,x\n", "one.csv")
+    path = csv('"a","b"\n2,y\n', "two.csv")
+    assert rows(read_text_csv(spark, path)) == [("1", "x"), ("2", "y")]
 
 
 def test_only_files_with_breaks_are_read_whole(spark, csv):
