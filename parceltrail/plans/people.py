@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parceltrail.sources.people import complete
+
 # Wording of the message.
 GREETING = "Hello! :)"
 MESSAGE = "%s is currently in space flying on the %s! %s"
@@ -15,9 +17,9 @@ def message(craft: Column, name: Column, greeting: Column) -> Column:
 
 
 def person_rows(documents: DataFrame) -> DataFrame:
-    """One row per record of ``people``, next to the other columns."""
+    """One row per record of ``people``, next to the other columns; a document without a list fails the query."""
     others = [c for c in documents.columns if c != "people"]
-    return documents.select(*others, F.inline("people"))
+    return complete(documents).select(*others, F.inline("people"))
 
 
 def messages(documents: DataFrame, greeting: str = GREETING) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PERSON = "struct<craft:string,name:string>"
@@ -26,12 +26,25 @@ FALLBACK_PEOPLE = [
 ]
 
 
+def _incomplete() -> Column:
+    return F.col("number").isNull() | F.col("people").isNull()
+
+
+def complete(documents: DataFrame) -> DataFrame:
+    """``documents``; one without a number or a list of records fails the query, as a bad cast does."""
+    message = F.format_string("incomplete document: number %s", F.col("number"))
+    # The check is part of the list itself: a filter beside it could run after one that drops missing lists.
+    checked = F.when(_incomplete(), F.raise_error(message).cast(f"array<{PERSON}>")).otherwise(F.col("people"))
+    return documents.withColumn("people", checked).where(F.size("people") >= 0)
+
+
 def parse_documents(df: DataFrame, json_col: str) -> DataFrame:
-    """Add ``number`` and ``people`` parsed from a JSON text column."""
-    parsed = F.from_json(json_col, DOCUMENT)
-    return df.withColumn("doc", parsed).select(
+    """Add ``number`` and ``people`` parsed from a JSON text column; malformed text fails the query."""
+    parsed = F.from_json(json_col, DOCUMENT, {"mode": "FAILFAST"})
+    documents = df.withColumn("doc", parsed).select(
         *df.columns, F.col("doc.number").alias("number"), F.col("doc.people").alias("people")
     )
+    return complete(documents)
 
 
 def read_documents(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -45,11 +58,15 @@ def fallback_document(spark: SparkSession) -> DataFrame:
 
 
 def documents_or_fallback(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """The documents at ``path``; the literal rows if they are absent, empty or incomplete."""
+    """The documents at ``path``; the literal rows if there is none that can be used.
+
+    One usable document is enough to tell, so the input isn't read twice. Next to usable documents, an
+    incomplete or malformed one fails the query.
+    """
     try:
         documents = read_documents(spark, path, multi_line)
     except AnalysisException:
         return fallback_document(spark)
-    incomplete = F.col("number").isNull() | F.col("people").isNull()
-    usable = not documents.isEmpty() and documents.where(incomplete).isEmpty()
-    return documents if usable else fallback_document(spark)
+    if documents.where(~_incomplete()).isEmpty():
+        return fallback_document(spark)
+    return complete(documents)

@@ -52,3 +52,21 @@ def test_fallback(spark, tmp_path, text):
 
 def test_fallback_document_is_consistent(spark):
     assert people.count_matches(fallback_document(spark)).first().count_ok
+
+
+def test_a_bad_document_among_good_ones_fails(spark, tmp_path):
+    good = "\n".join(json.dumps(DOC) for _ in range(1000))
+    for bad in ("not json", '{"number": 1}'):
+        (tmp_path / "people.json").write_text(f"{good}\n{bad}\n")
+        documents = documents_or_fallback(spark, str(tmp_path))
+        with pytest.raises(Exception, match="incomplete document"):
+            people.person_rows(documents).collect()
+    (tmp_path / "people.json").write_text(good)
+    assert people.person_rows(documents_or_fallback(spark, str(tmp_path))).count() == 2000
+
+
+@pytest.mark.parametrize("text", ["not json", '{"number": 1}', None])
+def test_text_that_is_no_document_fails(spark, text):
+    df = spark.createDataFrame([(json.dumps(DOC),), (text,)], "doc string")
+    with pytest.raises(Exception):
+        people.person_rows(parse_documents(df, "doc")).collect()
