@@ -27,6 +27,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free(df: DataFrame, *names: str) -> list[str]:
+    """``names`` with as many underscores before them as it takes to differ from all columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        found.append(name)
+    return found
+
+
 def id_crc(doc_id: str | Column = "doc_id") -> Column:
     """crc32 of the id written as text; a missing id counts as empty text."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parceltrail.llm.common import id_crc, with_columns
+from parceltrail.llm.common import free, id_crc, with_columns
 
 DIMS = 4096
 CLUSTERS = 4
@@ -191,8 +191,8 @@ def train(documents: DataFrame, clusters: int = CLUSTERS, sample: int = SAMPLE)
     )
 
 
-def classify(documents: DataFrame, model: Model) -> DataFrame:
-    """``documents`` with _lang_pred, _lang_score and _lang_rejected; nothing is shuffled."""
+def classify(documents: DataFrame, model: Model, names: tuple[str, ...] = ("lang_pred", "score", "rejected")) -> DataFrame:
+    """``documents`` with the predicted language, its cosine and whether it is rejected; nothing is shuffled."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def make():
@@ -205,24 +205,17 @@ def classify(documents: DataFrame, model: Model) -> DataFrame:
 
         return work
 
-    return with_columns(
-        documents, "_lang_pred string, _lang_score double, _lang_rejected boolean", make, ["text"]
-    )
+    name, score, rejected = names
+    return with_columns(documents, f"{name} string, {score} double, {rejected} boolean", make, ["text"])
 
 
 def digest(documents: DataFrame) -> DataFrame:
-    model = train(documents)
-    predicted = classify(documents.select("doc_id", "text"), model)
-    return predicted.select(
-        "doc_id",
-        held_out().alias("held_out"),
-        F.col("_lang_pred").alias("lang_pred"),
-        F.col("_lang_score").alias("score"),
-        F.col("_lang_rejected").alias("rejected"),
-    )
+    predicted = classify(documents.select("doc_id", "text"), train(documents))
+    return predicted.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def keep_known(documents: DataFrame) -> DataFrame:
     """The rows whose language is known: rejected ones go; learns from the rows' own labels."""
     columns = [F.col(f"`{c}`") for c in documents.columns]
-    return classify(documents, train(documents)).where(~F.col("_lang_rejected")).select(*columns)
+    names = tuple(free(documents, "_lang", "_score", "_rejected"))
+    return classify(documents, train(documents), names).where(~F.col(names[2])).select(*columns)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from parceltrail.llm.common import stored, text_bytes, with_columns
+from parceltrail.llm.common import free, stored, text_bytes, with_columns
 from parceltrail.llm.components import components
 
 SHINGLE, SEED, MAX_BITS = 3, 42, 3
@@ -278,15 +278,18 @@ def digest(documents: DataFrame) -> DataFrame:
 def keep_first(documents: DataFrame, max_bits: int = MAX_BITS, shingle: int = SHINGLE) -> DataFrame:
     """``documents`` without all but one row of each class: the one whose id names the class."""
     columns = [F.col(f"`{c}`") for c in documents.columns]
+    key, count, first = free(documents, "_id", "_n", "_first")
     found = stored(classes(documents, max_bits, shingle).drop("_fingerprint"), "decided")
     named = found.where(F.col("doc_id").isNotNull())
     # Ids that stay are those that name a class; an id with several texts stays if one of them is first.
-    ids = named.groupBy(F.col("doc_id").alias("_id")).agg(
-        F.count(F.lit(1)).alias("_n"), F.max(F.col("doc_id") == F.col("component_id")).alias("_first")
+    ids = named.groupBy(F.col("doc_id").alias(key)).agg(
+        F.count(F.lit(1)).alias(count), F.max(F.col("doc_id") == F.col("component_id")).alias(first)
     )
-    gone, many = ids.where(~F.col("_first")).select("_id"), ids.where("_first AND _n > 1").select("_id")
-    rows = documents.join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
+    gone = ids.where(~F.col(first)).select(key)
+    many = ids.where(F.col(first) & (F.col(count) > 1)).select(key)
+    same = F.col("doc_id") == F.col(key)
+    rows = documents.join(gone, same, "left_anti")
     # Repeated ids are rare: mostly ``many`` is empty and its branch falls away at run time.
-    single = rows.join(many, F.col("doc_id") == F.col("_id"), "left_anti").select(*columns)
-    again = documents.join(many, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
+    single = rows.join(many, same, "left_anti").select(*columns)
+    again = documents.join(many, same, "left_semi").dropDuplicates(["doc_id"])
     return single.unionByName(again.select(*columns))

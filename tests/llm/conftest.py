@@ -1,0 +1,50 @@
+"""Small tables with the cases that every operator must handle."""
+
+import random
+
+import pytest
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="session")
+def documents(spark):
+    """Function making documents from (doc_id, text[, lang[, source]]) rows."""
+
+    def make(rows, extra=""):
+        full = [(r + (None,) * 4)[:4] for r in rows]
+        full = [(i, t, lang, source, None if t is None else len(t)) for i, t, lang, source in full]
+        df = spark.createDataFrame(full, SCHEMA).repartition(3)
+        for name in extra.split():
+            df = df.selectExpr("*", f"'clash' AS `{name}`")
+        return df
+
+    return make
+
+
+def prose(seed, n=120, words=400):
+    """Invented sentences of ``n`` words."""
+    rng = random.Random(seed)
+    vocabulary = ["".join(rng.choice("abdeilnorstu") for _ in range(rng.randint(2, 9))) for _ in range(words)]
+    return " ".join(rng.choice(vocabulary) for _ in range(n))
+
+
+@pytest.fixture(scope="session")
+def awkward():
+    """Rows with nulls in every column, empty and very long texts, ties and repeated rows."""
+    long = prose(1, 30_000)
+    return [
+        (1, prose(2), "en", "a"),
+        (2, None, "en", "a"),
+        (3, "", None, None),
+        (4, "   \n\t ", "fr", "b"),
+        (5, long, "en", "a"),
+        (6, prose(2), "fr", "a"),
+        (6, prose(2), "fr", "a"),
+        (7, prose(3) + " éà 語 🙂", "fr", None),
+        (None, prose(4), None, "b"),
+        (None, prose(4), None, "b"),
+        (8, "x", "en", "web12"),
+        (9, "42 !!", "en", "web12"),
+        (10, prose(2) + "!", "en", "c"),
+    ]

@@ -1,0 +1,158 @@
+"""Language id, quality and language model: brute-force counts, held-out accuracy, awkward rows."""
+
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from parceltrail.llm import langid, neural_lm, quality
+
+from .conftest import prose
+
+SYLLABLES = {"en": "th er in the and st".split(), "fr": "eau le qu é la ou".split(), "de": "sch ung der ü ei ch".split()}
+
+
+def sentence(lang, seed, n=60):
+    rng = random.Random(f"{lang}{seed}")
+    return " ".join("".join(rng.choices(SYLLABLES[lang], k=rng.randint(1, 4))) for _ in range(n))
+
+
+def in_fold(doc_id, modulus, rest):
+    return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % modulus == rest
+
+
+@pytest.fixture(scope="module")
+def languages(documents):
+    rows = [(i, sentence(lang, i, 5 + i % 60), lang, f"s{i % 3}") for i, lang in enumerate(list(SYLLABLES) * 60)]
+    return documents(rows)
+
+
+def test_held_out_languages(languages):
+    found = {r.doc_id: r for r in langid.digest(languages).collect()}
+    truth = {r.doc_id: r.lang for r in languages.collect()}
+    out = [i for i, r in found.items() if r.held_out]
+    assert set(out) == {i for i in truth if in_fold(i, 3, 1)}
+    assert sum(found[i].lang_pred == truth[i] for i in out) >= 0.97 * len(out)
+    assert all(0 <= r.score <= 1 for r in found.values()) and not any(r.rejected for r in found.values())
+
+
+def test_labels_of_held_out_rows_are_not_read(languages):
+    from pyspark.sql import functions as F
+
+    wrong = languages.withColumn("lang", F.when(langid.held_out(), "xx").otherwise(F.col("lang")))
+    pick = lambda df: sorted((r.doc_id, r.lang_pred, r.score) for r in langid.digest(df).collect())
+    assert pick(wrong) == pick(languages)
+
+
+def test_far_texts_and_texts_without_letters_are_rejected(languages, documents):
+    model = langid.train(languages)
+    texts = ["Жили были старик со старухой", "12 34 !!", "", None, sentence("fr", 999)]
+    df = documents([(i, t) for i, t in enumerate(texts)], "lang_pred")
+    names = ("p", "s", "r")
+    found = {r.doc_id: r for r in langid.classify(df, model, names).collect()}
+    assert [found[i].r for i in range(5)] == [True, True, True, True, False]
+    assert [found[i].p for i in (1, 2, 3, 4)] == ["und", "und", "und", "fr"]
+    assert all(found[i].s == 0 for i in (1, 2, 3))
+
+
+def test_langid_on_awkward_rows(documents, awkward):
+    df = documents(awkward, "_lang _score _rejected")
+    found = langid.digest(df).collect()
+    assert len(found) == len(awkward)
+    assert {r.lang_pred for r in found if r.doc_id in (2, 3, 4, 9)} == {"und"}
+    assert langid.keep_known(df).schema == df.schema
+    nothing = df.selectExpr("doc_id", "text", "cast(null as string) lang")
+    assert {r.lang_pred for r in langid.digest(nothing).collect()} == {"und"}
+    assert langid.digest(documents([])).count() == 0
+
+
+def junk(seed):
+    return prose(seed, 80).upper().replace(" ", "!! ") if seed % 2 else "spam " * (20 + seed % 50)
+
+
+def test_quality_from_positives_and_unlabelled(documents, spark):
+    rng = random.Random(2)
+    rows, labels = [], []
+    for i in range(900):
+        bad = rng.random() < 0.3
+        rows.append((i, junk(i) if bad else prose(i, 30 + i % 90)))
+        if i % 2:
+            labels.append((i, int(not bad), 0))
+    frame = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    found = {r.doc_id: r for r in quality.digest(documents(rows), frame).collect()}
+    truth = {i: q for i, q, _ in labels if in_fold(i, 5, 0)}
+    assert {i for i, r in found.items() if r.held_out} == {i for i, _ in rows if in_fold(i, 5, 0)}
+    assert np.mean([found[i].predicted == q for i, q in truth.items()]) >= 0.95
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in found.values())
+    # Labels 0 are never read.
+    ones = frame.where("quality = 1")
+    again = {r.doc_id: r.score for r in quality.digest(documents(rows), ones).collect()}
+    assert again == {i: r.score for i, r in found.items()}
+
+
+def test_class_prior_of_known_mixture():
+    rng = np.random.default_rng(0)
+    positive = rng.standard_normal((3000, 4)) + [2, 0, 0, 0]
+    parts = (rng.standard_normal((4200, 4)) + [2, 0, 0, 0], rng.standard_normal((1800, 4)) - [2, 0, 0, 0])
+    assert abs(quality.estimate_prior(positive, np.concatenate(parts)) - 0.7) < 0.08
+
+
+def test_quality_on_awkward_rows(documents, awkward, spark):
+    labels = spark.createDataFrame(
+        [(1, 1, 0), (1, 1, 0), (7, None, None), (None, 1, 0), (8, 0, 0), (77, 1, 1)], "doc_id long, quality int, toxic int"
+    )
+    found = quality.digest(documents(awkward, "score _quality _features"), labels).collect()
+    assert len(found) == len(awkward) and all(0 <= r.score <= 1 for r in found)
+    assert {r.score for r in quality.digest(documents(awkward), labels.limit(0)).collect()} == {0.5}
+    assert quality.digest(documents([]), labels).count() == 0
+
+
+def expected_base(rows):
+    tokens = [(i, (t or "").encode().lower().split() + [b"\n"]) for i, t in rows]
+    counts = Counter()
+    for i, words in tokens:
+        if not in_fold(i, 7, 2):
+            counts.update(words)
+    n, v = sum(counts.values()), len(counts)
+    for i, words in tokens:
+        base = sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in words)
+        yield (i, in_fold(i, 7, 2), len(words), sum(w in counts for w in words), n), base
+
+
+@pytest.mark.parametrize("head", [neural_lm.HEAD, 40])
+def test_base_scores(documents, awkward, head, monkeypatch):
+    """With a small head most counts come by the join."""
+    monkeypatch.setattr(neural_lm, "HEAD", head)
+    rows = [r[:2] for r in awkward] + [(i, prose(i % 5, 40, 100)) for i in range(200, 230)]
+    df = documents(rows, "word n c _key tail base model")
+    found = sorted(map(tuple, neural_lm.digest(df).collect()), key=str)
+    expected = sorted(expected_base(rows), key=lambda e: str(e[0]))
+    assert len(found) == len(expected)
+    for got, (key, base) in zip(found, expected):
+        assert got[:5] == key and got[5] == pytest.approx(base, abs=1e-6) and got[6] <= 0
+
+
+def test_model_is_normalised_and_beats_the_base(documents):
+    # Words follow each other in a cycle, so the words before a token tell what it is.
+    cycle = [f"w{i}" for i in range(30)]
+    rows = [(i, " ".join(cycle[(i + j) % 30] for j in range(200))) for i in range(120)]
+    df = documents(rows)
+    found = [r for r in neural_lm.digest(df).collect() if r.held_out]
+    assert found and all(r.score > 0.8 * r.base_score for r in found)
+    assert all(r.score > r.base_score for r in found)
+
+    model = neural_lm.LogBilinear(np.arange(1, 40))
+    contexts = np.repeat(np.random.default_rng(0).integers(0, 39, (5, 2)), 39, axis=0)
+    logs = model.log_probabilities(contexts, np.tile(np.arange(39), 5)).reshape(5, 39)
+    assert np.exp(logs).sum(axis=1) == pytest.approx(np.ones(5))
+
+
+def test_language_model_without_training_text(documents):
+    held = [i for i in range(100) if in_fold(i, 7, 2)]
+    found = neural_lm.digest(documents([(i, "a b") for i in held])).collect()
+    assert {(r.train_tokens, r.n_known, r.base_score) for r in found} == {(0, 0, 0.0)}
+    assert all(r.score == pytest.approx(0, abs=1e-6) for r in found)
+    assert neural_lm.digest(documents([])).count() == 0
