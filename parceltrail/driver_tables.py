@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Lower-case codes by nation number; the last one is unknown to the region rule.
-STATES = "sp rj mg es pr sc rs ac ap am pa ro rr to al ba ce ma pb pe pi rn df go xx".split()
+# Lower-case codes, one for each remainder of the seller's key; the last one is unknown to the region rule.
+STATES = "sp rj mg es pr sc rs ac ap am pa ro rr to al ba ce ma pb pe pi rn se df go mt ms xx".split()
+# Cities in mixed case, which the clean layer has to change.
+CITIES = ["mogi-guacu d'oeste", "SAO PAULO", "Embu-GUACU", "são JOSÉ"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -97,14 +99,17 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Version 1 has a greater postcode."""
-    states = F.array(*[F.lit(s) for s in STATES])
+    states, cities = (F.array(*[F.lit(s) for s in names]) for names in (STATES, CITIES))
+    key = F.col("s_suppkey")
     return _with_copies(table(spark, sf_dir, "supplier"), "s_suppkey").select(
         _text(F.col("s_suppkey"), "seller_id"),
         F.lpad((F.col("s_suppkey") + F.col("version")).cast("string"), 12, "0").alias(
             "seller_zip_code_prefix"
         ),
-        F.translate("s_name", "#", "-").alias("seller_city"),
-        F.element_at(states, F.col("s_nationkey") + 1).alias("seller_state"),
+        F.concat_ws(
+            " ", F.element_at(cities, (key % len(CITIES) + 1).cast("int")), F.translate("s_name", "#", "-")
+        ).alias("seller_city"),
+        F.element_at(states, (key % len(STATES) + 1).cast("int")).alias("seller_state"),
     )
 
 

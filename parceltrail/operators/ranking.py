@@ -12,24 +12,29 @@ def rank_by_count(df: DataFrame, measure: str, rank_col: str = "rank") -> DataFr
     A rank is one plus the number of rows with a greater measure, so only the distinct measure
     values pass through the ordered window. D distinct non-negative counts add up to at least
     D(D-1)/2; counts of N things therefore have less than about sqrt(2N)+1 distinct values
-    (1.4 million for 10^12). That bound is what allows one task and the broadcast below.
+    (1.4 million for 10^12). That bound is what allows one task; it holds for counts, so only a whole-number
+    measure is taken, and a negative one fails the query. How the ranks meet the rows is left to Catalyst; equal
+    measures are joined on the measure, of which a hot one, such as 0, is split by adaptive execution.
     """
+    if df.schema[measure].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        raise ValueError(f"{measure} is no count")
+    negative = F.raise_error(F.concat(F.lit(f"{measure} is no count: "), F.col(measure).cast("string")))
+    df = df.withColumn(measure, F.when(F.col(measure) < 0, negative.cast("bigint")).otherwise(F.col(measure)))
     greater = Window.orderBy(F.col(measure).desc()).rowsBetween(Window.unboundedPreceding, -1)
     ranks = (
         df.groupBy(measure)
         .agg(F.count("*").alias("_n"))
         .select(measure, (F.coalesce(F.sum("_n").over(greater), F.lit(0)) + 1).alias(rank_col))
     )
-    return df.join(F.broadcast(ranks), measure)
+    return df.join(ranks, measure)
 
 
 def top_by_count(df: DataFrame, measure: str, key: str, k: int, rank_col: str = "rank") -> DataFrame:
-    """The ``k`` rows with the greatest measure (ties by key) and their competition rank.
+    """The ``k`` rows with the greatest measure and their competition rank.
 
-    Everything that ranks above a kept row is kept too, so ranking the k rows gives their rank
+    Rows without a measure come last, ties go by key, a missing key first. Everything that ranks above a kept row is kept too, so ranking the k rows gives their rank
     in the whole table.
     """
-    top = df.orderBy(F.col(measure).desc(), key).limit(k)
-    return top.withColumn(
-        rank_col, F.rank().over(Window.orderBy(F.col(measure).desc())).cast("bigint")
-    )
+    best = F.desc_nulls_last(measure)
+    top = df.orderBy(best, F.asc_nulls_first(key)).limit(k)
+    return top.withColumn(rank_col, F.rank().over(Window.orderBy(best)).cast("bigint"))

@@ -46,6 +46,16 @@ def orders_fact(
     return delivered_items(items, orders, count_on).drop("order_item_id")
 
 
+def purchases(raw_items: DataFrame, orders: DataFrame) -> DataFrame:
+    """Times of purchase of the delivered orders that have items: those of the fact.
+
+    Deduplicated items have the same orders as the raw ones, so the items need no other column and no window.
+    """
+    ordered = raw_items.select("order_id").distinct()
+    delivered = orders.where(F.col("order_status") == DELIVERED).select("order_id", "purchase_timestamp")
+    return delivered.join(ordered, "order_id", "left_semi").select("purchase_timestamp")
+
+
 def dim_sellers(sellers: DataFrame) -> DataFrame:
     return sellers.select("seller_id", "city", "state", region_of(F.col("state")).alias("region"))
 
@@ -84,16 +94,17 @@ def wide_fact(
     dim_sellers: DataFrame,
     dim_date: DataFrame,
     count_on: DataFrame | None = None,
+    count_days_on: DataFrame | None = None,
 ) -> DataFrame:
     """The fact with the attributes of all its dimensions; NULL where a dimension row is missing.
 
-    The fact has no day key; it is derived from the time of purchase. ``delivered_items`` may be
-    passed instead of the fact: its item number tells apart copies that are equal in the fact,
-    so that a shuffle join can divide them.
+    The fact has no day key; it is derived from the time of purchase. Hot products and sellers are counted on
+    ``count_on`` and hot days on ``count_days_on`` (``date_id``), which should be raw or stored tables; without
+    them, on the fact.
     """
-    with_products = lookup_join(fact, dim_products, "product_id", "left", count_on)
-    with_sellers = lookup_join(with_products, dim_sellers, "seller_id", "left", count_on)
+    raw = fact if count_on is None else count_on
+    with_products = lookup_join(fact, dim_products, "product_id", "left", raw)
+    with_sellers = lookup_join(with_products, dim_sellers, "seller_id", "left", raw)
     day = cal.date_id(F.col("purchase_timestamp")).alias("date_id")
-    return lookup_join(
-        with_sellers.select("*", day), dim_date, "date_id", "left", count_on=fact.select(day)
-    )
+    days = fact.select(day) if count_days_on is None else count_days_on
+    return lookup_join(with_sellers.select("*", day), dim_date, "date_id", "left", count_on=days)

@@ -133,6 +133,8 @@ def late_by_all(
     lines = fact.select("product_id", "seller_id", "order_id", "is_late", "delay_days")
     lines = _attach(lines, dim_products, "product_id", ["product_category"], count_on)
     lines = _attach(lines, dim_sellers, "seller_id", ["region"], count_on)
+    # One row for each order and combination, before the grouping sets triple them.
+    lines = lines.groupBy(*attributes, "order_id").agg(F.max("is_late").alias("is_late"))
     # One bit per grouping column, 0 where the column is part of the grouping set.
     breakdown = (
         F.when(F.grouping_id() == 0b0110, "category")
@@ -197,6 +199,26 @@ def top_categories(
     return top_by_count(late, "n_late", "product_category", k)
 
 
+def top_regions(
+    fact: DataFrame, dim_sellers: DataFrame, count_on: DataFrame | None = None, k: int = 10
+) -> DataFrame:
+    """The k regions with most late orders."""
+    return top_by_count(late_by_region(fact, dim_sellers, count_on), "n_late", "region", k)
+
+
+def top_sellers_by_delay(fact: DataFrame, k: int = 10) -> DataFrame:
+    """The k sellers whose late orders are late by most days on average."""
+    return top_by_count(average_delay_by_seller(fact), "avg_late_days", "seller_id", k)
+
+
+def top_categories_by_delay(
+    fact: DataFrame, dim_products: DataFrame, count_on: DataFrame | None = None, k: int = 10
+) -> DataFrame:
+    """The k categories whose late orders are late by most days on average."""
+    delays = average_delay_by_category(fact, dim_products, count_on)
+    return top_by_count(delays, "avg_late_days", "product_category", k)
+
+
 def late_by_calendar(fact: DataFrame, dim_date: DataFrame, *attributes: str) -> DataFrame:
     """Late orders by attributes of the purchase day.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from parceltrail import driver_tables as raw
 from parceltrail.driver_tables import table
+from parceltrail.functions.calendar import date_id
 from parceltrail.functions.delivery import delay_days, is_late
 from parceltrail.functions.text import capitalise_words
 from parceltrail.operators.dedup import latest_per_key
@@ -17,7 +18,8 @@ from parceltrail.sources.csv_text import read_text_csv
 from parceltrail.sources.people import DOCUMENT, documents_or_fallback, parse_documents
 
 VOLUME_BOUNDS = (1_000, 27_000)
-WEIGHT_BOUNDS = (1_000, 1_200)
+WEIGHT_BOUNDS = (930, 965)
+MIXED_FILES = 32
 
 
 # --- layer tables -----------------------------------------------------------------------------
@@ -55,21 +57,20 @@ def dim_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.dim_date(fact(spark, sf_dir))
+    return gold.dim_date(gold.purchases(raw.raw_items(spark, sf_dir), orders(spark, sf_dir)))
 
 
 def star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw_items = raw.raw_items(spark, sf_dir)
-    delivered = gold.delivered_items(
-        silver.orders_items(raw_items), orders(spark, sf_dir), count_on=raw_items
-    )
+    raw_orders = raw.raw_orders(spark, sf_dir)
+    bought = F.col("order_purchase_timestamp").cast("timestamp_ntz")
     return gold.wide_fact(
-        delivered,
+        fact(spark, sf_dir),
         dim_products(spark, sf_dir),
         dim_sellers(spark, sf_dir),
-        gold.dim_date(delivered),
-        count_on=raw_items,
-    ).drop("order_item_id")
+        dim_date(spark, sf_dir),
+        count_on=raw.raw_items(spark, sf_dir),
+        count_days_on=raw_orders.select(date_id(bought).alias("date_id")),
+    )
 
 
 def dim_date_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,6 +189,27 @@ def csv_quoted_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_text_csv(spark, path).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 
 
+def csv_mixed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole document texts in two files' line ends: every second document goes to files with CRLF."""
+    path = scratch_dir(spark, "csv")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    escaped = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    lines = documents.select(
+        F.concat_ws(",", F.col("doc_id").cast("string"), escaped).alias("line"),
+        F.pmod("doc_id", F.lit(MIXED_FILES)).cast("int").alias("file"),
+        F.lit(1).alias("place"),
+    )
+    headers = spark.range(MIXED_FILES).select(
+        F.lit("doc_id,text").alias("line"), F.col("id").cast("int").alias("file"), F.lit(0).alias("place")
+    )
+    # Lines are put together here, as Spark's CSV writer would turn the LF in quotes into CRLF.
+    rows = headers.union(lines).repartition(MIXED_FILES, "file").sortWithinPartitions("file", "place").drop("place")
+    for rest, end in enumerate(("\n", "\r\n")):
+        rows.where(F.col("file") % 2 == rest).write.partitionBy("file").text(f"{path}/{rest}", lineSep=end)
+    loaded = read_text_csv(spark, f"{path}/*/*")
+    return loaded.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+
+
 def _prefix(root: str) -> str:
     """Database prefix of its own for a scratch folder."""
     return f"run_{root.rsplit('-', 1)[1]}_"
@@ -259,8 +281,7 @@ def _report(build, *dims, **parameters):
 
 def _calendar_report(*attributes: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        star_fact = fact(spark, sf_dir)
-        return kpi.late_by_calendar(star_fact, gold.dim_date(star_fact), *attributes)
+        return kpi.late_by_calendar(fact(spark, sf_dir), dim_date(spark, sf_dir), *attributes)
 
     return query
 
@@ -297,6 +318,7 @@ QUERIES = {
     "casts_from_text": casts_from_text,
     "csv_roundtrip": csv_roundtrip,
     "csv_quoted_text": csv_quoted_text,
+    "csv_mixed_files": csv_mixed_files,
     "replace_load": replace_load,
     "gold_fact": fact,
     "gold_dim_sellers": dim_sellers,
@@ -319,6 +341,9 @@ QUERIES = {
     "kpi_seller_ranking": _report(kpi.seller_ranking),
     "kpi_top_offenders": _report(kpi.top_offenders),
     "kpi_top_categories": _report(kpi.top_categories, dim_products),
+    "kpi_top_regions": _report(kpi.top_regions, dim_sellers),
+    "kpi_top_by_avg_delay_seller": _report(kpi.top_sellers_by_delay),
+    "kpi_top_by_avg_delay_category": _report(kpi.top_categories_by_delay, dim_products),
     "kpi_late_by_month": _calendar_report("year", "month"),
     "kpi_late_by_weekend": _calendar_report("is_weekend"),
     "kpi_late_by_weekday": _calendar_report("day_of_week", "day_name"),

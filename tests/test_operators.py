@@ -8,8 +8,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from parceltrail.operators.dedup import latest_per_key
-from parceltrail.operators.joins import hot_keys, lookup_join, split_join
+from parceltrail.operators.joins import fits_broadcast, hot_keys, lookup_join, split_join
 from parceltrail.operators.ranking import rank_by_count, top_by_count
+from parceltrail.operators.series import daily_series
 
 few_examples = settings(
     max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
@@ -51,12 +52,11 @@ def skewed(spark, n=6000):
 
 
 def test_hot_keys(spark):
-    found = {r.k: r["_parts"] for r in hot_keys(skewed(spark), "k", 500).collect()}
-    assert found == {7: 5}  # 2,073 rows, at most 500 per part
+    assert hot_keys(skewed(spark), "k", 500) == [(7, 5)]  # 2,073 rows, at most 500 per part
 
 
 def test_hot_keys_ignores_small_tables(spark):
-    assert hot_keys(skewed(spark), "k").count() == 0
+    assert hot_keys(skewed(spark), "k") == []
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
@@ -102,13 +102,43 @@ def test_split_join_counts_on_another_table(spark, shuffle_joins):
     assert found.count() == large.join(lookup, "k").count()
 
 
-def test_hot_list_is_computed_once(spark, shuffle_joins):
-    lookup = spark.range(50).select(F.col("id").cast("int").alias("k"))
-    joined = split_join(skewed(spark), lookup, "k", rows_per_part=100)
-    joined.collect()
-    plan = joined._jdf.queryExecution().executedPlan().toString()
-    final = plan.split("== Initial Plan ==")[0]
-    assert "ReusedExchange" in final
+def test_equal_rows_of_a_hot_key_are_divided(spark, shuffle_joins):
+    large = spark.range(200_000).select(F.lit(7).alias("k"), F.lit("same").alias("v"))
+    large = large.unionByName(spark.createDataFrame([(1, "x"), (1, "x"), (None, "y")], "k int, v string"))
+    lookup = spark.range(50).select(F.col("id").cast("int").alias("k"), F.lit("w").alias("w"))
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        joined = split_join(large, lookup, "k", "left", rows_per_part=1000)
+        sizes = [r["count"] for r in joined.where("k = 7").groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set(setting, "true")
+    assert sum(sizes) == 200_000 and len(sizes) == 4 and max(sizes) < 70_000
+    rest = joined.where("k is null or k <> 7").collect()
+    assert sorted(map(tuple, rest), key=str) == [(1, "x", "w"), (1, "x", "w"), (None, "y", None)]
+
+
+def test_a_calendar_of_ten_thousand_years_is_not_broadcast(spark):
+    purchases = spark.createDataFrame([("0001-01-01 05:00:00",), ("9999-12-31 06:00:00",)], "t string")
+    days = daily_series(purchases.select(F.col("t").cast("timestamp_ntz").alias("t")), "t", "day")
+    assert days.count() == 3_652_059 and not fits_broadcast(days)
+    ends = days.agg(F.min("day").cast("string"), F.max("day").cast("string")).first()
+    assert tuple(ends) == ("0001-01-01 05:00:00", "9999-12-31 05:00:00")
+    assert daily_series(purchases.limit(0).select(F.col("t").cast("timestamp_ntz").alias("t")), "t", "d").count() == 0
+
+
+@pytest.mark.parametrize("kind", ["double", "string"])
+def test_only_counts_are_ranked(spark, kind):
+    with pytest.raises(ValueError, match="no count"):
+        rank_by_count(spark.range(3).select(F.col("id").cast(kind).alias("n")), "n")
+    with pytest.raises(Exception, match="no count: -1"):
+        rank_by_count(spark.range(3).select((F.col("id") - 1).alias("n")), "n").collect()
+
+
+def test_rows_without_a_measure_come_last(spark):
+    df = spark.createDataFrame([("a", 1.5), (None, 1.5), ("b", None), ("c", 2.0)], "k string, n double")
+    found = [(r.k, r["rank"]) for r in top_by_count(df, "n", "k", 4).orderBy("rank", F.asc_nulls_first("k")).collect()]
+    assert found == [("c", 1), (None, 2), ("a", 2), ("b", 4)]
 
 
 def test_lookup_join_broadcasts_small_lookups_only(spark):

@@ -4,14 +4,14 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
 from parceltrail import driver_tables as raw
 from parceltrail import queries as q
 from parceltrail.plans import gold, layers, silver
+from parceltrail.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-NO_WRITES = sorted(set(queries()) - {
-    "csv_roundtrip", "csv_quoted_text", "replace_load", "people_documents", "layers_end_to_end"
+NO_WRITES = sorted(set(QUERIES) - {
+    "csv_roundtrip", "csv_quoted_text", "csv_mixed_files", "replace_load", "people_documents", "layers_end_to_end"
 })
 
 
@@ -21,13 +21,13 @@ def plan_of(df):
 
 @pytest.mark.parametrize("name", NO_WRITES)
 def test_no_python_and_no_cross_join(spark, name):
-    plan = plan_of(queries()[name](spark, SF_DIR))
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
     assert not re.search(r"Python|Arrow|Pandas|CartesianProduct|NestedLoopJoin", plan)
 
 
 @pytest.mark.parametrize("name", [n for n in NO_WRITES if n.startswith(("kpi", "gold", "star"))])
 def test_shuffle_joins_broadcast_bounded_lists_only(spark, shuffle_joins, name):
-    plan = plan_of(queries()[name](spark, SF_DIR))
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
     assert not re.search(r"Python|CartesianProduct|NestedLoopJoin", plan)
     for exchange in plan.split("BroadcastExchange")[1:]:
         # The list of hot keys, the hot buckets below it, or the ranks of distinct counts.
@@ -39,7 +39,7 @@ def test_shuffle_joins_broadcast_bounded_lists_only(spark, shuffle_joins, name):
     "name", ["silver_orders", "silver_items", "silver_products", "silver_sellers"]
 )
 def test_dedup_cuts_rows_before_its_only_shuffle(spark, name):
-    plan = plan_of(queries()[name](spark, SF_DIR))
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
     assert plan.count("Exchange hashpartitioning") == 1
     above, below = plan.split("Exchange hashpartitioning")
     assert "WindowGroupLimit" in above and "WindowGroupLimit" in below
@@ -69,8 +69,25 @@ def test_fact_pushes_the_status_filter_and_prunes_columns(spark, tmp_path):
     assert all("shipping_limit_date" not in s and "updated_at" not in s for s in scans)
 
 
+def test_star_join_reads_each_table_a_few_times(spark, shuffle_joins):
+    plan = plan_of(QUERIES["star_join"](spark, SF_DIR))
+    assert plan.count("FileScan") < 15
+
+
+def test_calendar_bounds_need_no_item_window(spark):
+    orders, items = raw.raw_orders(spark, SF_DIR), raw.raw_items(spark, SF_DIR)
+    plan = plan_of(gold.purchases(items, silver.orders(orders)))
+    assert "l_linenumber" not in plan and "l_extendedprice" not in plan
+
+
+def test_grouping_sets_expand_folded_rows(spark):
+    plan = plan_of(QUERIES["kpi_late_grouping_sets"](spark, SF_DIR))
+    below = plan[plan.index("Expand") :]
+    assert below.index("HashAggregate") < below.index("Join")
+
+
 def test_calendar_report_joins_days_only(spark):
-    plan = plan_of(queries()["kpi_late_by_month"](spark, SF_DIR))
+    plan = plan_of(QUERIES["kpi_late_by_month"](spark, SF_DIR))
     join = plan.index("date_id")
     assert "HashAggregate" in plan[join:]
 

@@ -2,7 +2,9 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from parceltrail.oracle import ORACLE
+from parceltrail.queries import QUERIES
 from tests.compare import connect, differences
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -14,12 +16,12 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, con, name):
-    assert differences(queries()[name](spark, SF_DIR), con, oracle_sql()[name]) is None
+    assert differences(QUERIES[name](spark, SF_DIR), con, ORACLE[name]) is None
 
 
 @pytest.mark.parametrize(
@@ -28,7 +30,7 @@ def test_query_equals_sql(spark, con, name):
      "kpi_late_by_month", "kpi_seller_ranking"],
 )
 def test_query_equals_sql_with_shuffle_joins(spark, shuffle_joins, con, name):
-    assert differences(queries()[name](spark, SF_DIR), con, oracle_sql()[name]) is None
+    assert differences(QUERIES[name](spark, SF_DIR), con, ORACLE[name]) is None
 
 
 def test_entry_returns_ten_sellers(spark):
@@ -44,7 +46,7 @@ def test_results_do_not_depend_on_the_time_zone(spark, con, name):
     # A zone whose clock changes at midnight: some local midnights do not exist.
     spark.conf.set(setting, "America/Sao_Paulo")
     try:
-        problem = differences(queries()[name](spark, SF_DIR), con, oracle_sql()[name])
+        problem = differences(QUERIES[name](spark, SF_DIR), con, ORACLE[name])
     finally:
         spark.conf.set(setting, before)
     assert problem is None
