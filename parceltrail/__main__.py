@@ -8,7 +8,7 @@ from __future__ import annotations
 import argparse
 
 from parceltrail.plans import layers
-from parceltrail.session import build_session
+from parceltrail.session import LEAST_PARTITIONS, build_session, shuffle_partitions, stored_bytes
 from parceltrail.sinks.layers import LayerStore
 
 EMBEDDED_BREAKS = {"look": None, "yes": True, "no": False}
@@ -26,10 +26,18 @@ def main(argv: list[str] | None = None) -> None:
         default="look",
         help="whether quoted CSV fields contain line breaks; 'look' costs one more pass",
     )
+    parser.add_argument(
+        "--shuffle-partitions", type=int, help="by default one for each 128 MB of input, 200 at least"
+    )
     args = parser.parse_args(argv)
     if args.layer in ("bronze", "all") and not args.data:
         parser.error("--data is needed to load the raw layer")
-    store = LayerStore(build_session(f"parceltrail {args.layer}"), args.warehouse, args.prefix)
+    spark = build_session(f"parceltrail {args.layer}")
+    source = f"{args.data.rstrip('/')}/*" if args.data else f"{args.warehouse.rstrip('/')}/*"
+    partitions = args.shuffle_partitions or shuffle_partitions(stored_bytes(spark, source))
+    if args.shuffle_partitions or partitions > LEAST_PARTITIONS:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    store = LayerStore(spark, args.warehouse, args.prefix)
     if args.layer in ("bronze", "all"):
         multi_line = EMBEDDED_BREAKS[args.embedded_breaks]
         layers.load_bronze(store, args.data, multi_line=multi_line)

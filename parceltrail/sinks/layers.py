@@ -32,15 +32,23 @@ class LayerStore:
     def replace(self, layer: str, table: str, df: DataFrame) -> DataFrame:
         """Write ``df`` as the new content of the table and return the stored table.
 
-        The rows go to a new folder, and the table is pointed there only after the write has
-        committed. Until then readers see the old content, and a failed write leaves it in
-        place. The folder of the old content is left for queries that still read it; removing
+        The rows go to a new folder; only after the write has committed, the table's location is switched to it,
+        so readers find the old or the new content at any time, and a failed write leaves the old one in
+        place. Only a table with another schema is dropped and created anew, between which it is absent. The
+        folder of the old content is left for queries that still read it; removing
         unreferenced folders is a matter of the storage's retention rule.
         """
         location = f"{self._folder(layer, table)}/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
         df.write.parquet(location)
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table)}")
-        self._register(layer, table, location)
+        self._point(layer, table, location)
+        name = self.name(layer, table)
+        schema = self.spark.read.parquet(location).schema
+        if self.spark.catalog.tableExists(name) and self.spark.table(name).schema == schema:
+            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+            self.spark.catalog.refreshTable(name)
+        else:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            self._register(layer, table, location)
         return self.read(layer, table)
 
     def read(self, layer: str, table: str) -> DataFrame:
@@ -62,11 +70,30 @@ class LayerStore:
             self.name(layer, table), path=location, source="parquet", schema=schema
         )
 
-    def _last_load(self, layer: str, table: str) -> str:
+    def _pointer(self, layer: str, table: str):
+        """Path of the small file that names the newest load, and its file system."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self._folder(layer, table)}/_newest")
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _point(self, layer: str, table: str, location: str) -> None:
+        """Name the newest load: written beside the pointer, then put in its place in one step."""
         hadoop = self.spark._jvm.org.apache.hadoop.fs
-        marker = hadoop.Path(f"{self._folder(layer, table)}/*/_SUCCESS")
-        files = marker.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(marker)
-        loads = sorted(f.getPath().getParent().toString() for f in files or [])
-        if not loads:
+        path, system = self._pointer(layer, table)
+        fresh = hadoop.Path(f"{path.toString()}-{uuid.uuid4().hex}")
+        out = system.create(fresh)
+        out.writeUTF(location)
+        out.close()
+        rename = getattr(hadoop, "Options$Rename")
+        how = self.spark.sparkContext._gateway.new_array(rename, 1)
+        how[0] = rename.OVERWRITE
+        files = hadoop.FileContext.getFileContext(path.toUri(), self.spark._jsc.hadoopConfiguration())
+        files.rename(fresh, path, how)
+
+    def _last_load(self, layer: str, table: str) -> str:
+        path, system = self._pointer(layer, table)
+        if not system.exists(path):
             raise LookupError(f"no complete load of {layer}.{table} below {self.root}")
-        return loads[-1]
+        text = system.open(path)
+        location = text.readUTF()
+        text.close()
+        return location

@@ -1,5 +1,6 @@
 """The whole run on the smallest driver tables."""
 
+import threading
 from datetime import datetime
 
 import pytest
@@ -124,6 +125,46 @@ def test_failed_load_keeps_the_old_table(spark, tmp_path):
     assert store.read("bronze", "t").count() == 3
 
 
+def test_a_reader_always_finds_the_table(spark, tmp_path):
+    store = LayerStore(spark, str(tmp_path), prefix="r_")
+    store.create_layer("bronze")
+    store.replace("bronze", "t", spark.range(3))
+    found, done = set(), threading.Event()
+
+    def read():
+        while not done.is_set():
+            try:
+                found.add(spark.catalog.tableExists("r_bronze.t") and spark.table("r_bronze.t").count() in (3, 4))
+            except Exception as e:  # noqa: BLE001
+                found.add(str(e)[:200])
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        for n in (4, 3, 4, 3, 4):
+            assert store.replace("bronze", "t", spark.range(n)).count() == n
+    finally:
+        done.set()
+        reader.join()
+    assert found == {True}
+
+
+def test_the_newest_load_is_the_last_one_whatever_the_clock_says(spark, tmp_path, monkeypatch):
+    store = LayerStore(spark, str(tmp_path), prefix="c_")
+    store.create_layer("bronze")
+    store.replace("bronze", "t", spark.range(3))
+    monkeypatch.setattr("time.time_ns", lambda: 1)
+    store.replace("bronze", "t", spark.range(5))
+    assert LayerStore(spark, str(tmp_path), prefix="d_").read("bronze", "t").count() == 5
+
+
+def test_another_schema_replaces_the_table(spark, tmp_path):
+    store = LayerStore(spark, str(tmp_path), prefix="n_")
+    store.create_layer("bronze")
+    store.replace("bronze", "t", spark.range(3))
+    assert store.replace("bronze", "t", spark.range(2).selectExpr("id AS other")).columns == ["other"]
+
+
 def test_table_can_be_replaced_from_itself(spark, tmp_path):
     store = LayerStore(spark, str(tmp_path), prefix="s_")
     store.create_layer("bronze")
