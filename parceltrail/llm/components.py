@@ -17,8 +17,8 @@ def _least(links: DataFrame) -> DataFrame:
 def _contract(links: DataFrame) -> DataFrame:
     """One step of alternating star contraction; ``links`` holds a > b."""
     # Large star: the larger end of each link moves to the smallest neighbour of the other end.
-    # A node without a smaller neighbour keeps its links, so only the others are joined by their key.
-    low = _least(links)
+    # Both sides are stored tables, so that adaptive execution can split a node with many links.
+    low = stored(_least(links), "least")
     large = links.join(low, F.col("b") == F.col("_node"), "left").select(
         "a", F.coalesce(F.col("_min"), F.col("b")).alias("b")
     )

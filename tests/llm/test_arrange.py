@@ -194,6 +194,12 @@ def test_pipeline_stages(spark, documents, awkward, tmp_path):
     assert len(whole) == len(packed)
 
 
+def test_pipeline_on_an_empty_table(spark, documents, tmp_path):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    documents([]).write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 @pytest.mark.parametrize("name", ["op1_mix_sources", "op7_exact_topk"])
 def test_sql_counterparts(spark, name):
     from parceltrail.llm.queries import ORACLE, QUERIES
