@@ -18,8 +18,9 @@ def rank_by_count(df: DataFrame, measure: str, rank_col: str = "rank") -> DataFr
     """
     if df.schema[measure].dataType.typeName() not in ("byte", "short", "integer", "long"):
         raise ValueError(f"{measure} is no count")
-    negative = F.raise_error(F.concat(F.lit(f"{measure} is no count: "), F.col(measure).cast("string")))
-    df = df.withColumn(measure, F.when(F.col(measure) < 0, negative.cast("bigint")).otherwise(F.col(measure)))
+    value = F.col(measure)
+    negative = F.raise_error(F.concat(F.lit(f"{measure} is no count: "), value.cast("string")))
+    df = df.withColumn(measure, F.when(value < 0, negative.cast("bigint")).otherwise(value))
     greater = Window.orderBy(F.col(measure).desc()).rowsBetween(Window.unboundedPreceding, -1)
     ranks = (
         df.groupBy(measure)
@@ -32,8 +33,8 @@ def rank_by_count(df: DataFrame, measure: str, rank_col: str = "rank") -> DataFr
 def top_by_count(df: DataFrame, measure: str, key: str, k: int, rank_col: str = "rank") -> DataFrame:
     """The ``k`` rows with the greatest measure and their competition rank.
 
-    Rows without a measure come last, ties go by key, a missing key first. Everything that ranks above a kept row is kept too, so ranking the k rows gives their rank
-    in the whole table.
+    Rows without a measure come last, ties go by key, a missing key first. Everything that ranks
+    above a kept row is kept too, so ranking the k rows gives their rank in the whole table.
     """
     best = F.desc_nulls_last(measure)
     top = df.orderBy(best, F.asc_nulls_first(key)).limit(k)

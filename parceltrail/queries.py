@@ -15,7 +15,7 @@ from parceltrail.plans import bronze, gold, kpi, layers, people, silver
 from parceltrail.session import scratch_dir
 from parceltrail.sinks.layers import LayerStore
 from parceltrail.sources.csv_text import read_text_csv
-from parceltrail.sources.people import DOCUMENT, documents_or_fallback, parse_documents
+from parceltrail.sources.people import documents_or_fallback, parse_documents
 
 VOLUME_BOUNDS = (1_000, 27_000)
 WEIGHT_BOUNDS = (930, 965)
