@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 from parceltrail.session import scratch_dir
 
-DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

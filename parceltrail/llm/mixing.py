@@ -106,37 +106,39 @@ def rake(cells: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     )
     product = " * ".join(f"fit.{d}[c.{d}_at]" for d, _ in DIMENSIONS)
     ats = ", ".join(f"'{d}_at', c.{d}_at" for d, _ in DIMENSIONS)
-    return fitted.select(F.explode(F.expr(f"transform(cells, c -> named_struct({ats}, 'factor', {product}))")).alias("c")).select("c.*")
+    factors = F.expr(f"transform(cells, c -> named_struct({ats}, 'factor', {product}))")
+    return fitted.select(F.inline(factors))
 
 
 def calibrate(documents: DataFrame, alpha: float = ALPHA, rounds: int = ROUNDS, targets: dict | None = None):
     """The categories of each dimension and the cells' probabilities (largest 1).
 
     ``targets``: shares by dimension and category name that replace the tempered ones, such as
-    {"lang": {"en": 0.5}}; categories of a named dimension that it leaves out get none.
+    {"lang": {"en": 0.5, "fr": 0.5}}; categories of a named dimension that it leaves out get none. The
+    categories that form the last one together go by the first of their names.
     """
     sums = _slim(documents).groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("n"))
     sums = stored(sums.where("n > 0"), "mix-cells")
     categories = {name: _categories(sums, name, most) for name, most in DIMENSIONS}
     ats = [f"{name}_at" for name, _ in DIMENSIONS]
-    folded = _placed(sums, categories).groupBy(*ats).agg(F.sum("n").cast("double").alias("n"))
-    one = folded.agg(F.array_sort(F.collect_list(F.struct(*ats, "n"))).alias("cells"))
+    names = [F.min(name).alias(f"{name}_name") for name, _ in DIMENSIONS]
+    folded = _placed(sums, categories).groupBy(*ats).agg(F.sum("n").cast("double").alias("n"), *names)
+    cells = F.array_sort(F.collect_list(F.struct(*ats, "n", *[f"{name}_name" for name, _ in DIMENSIONS])))
+    one = folded.agg(cells.alias("cells"))
     for name, most in DIMENSIONS:
         part = f"aggregate(cells, 0D, (a, c) -> a + if(c.{name}_at = i, c.n, 0D))"
         one = one.withColumn(f"{name}_sum", F.expr(f"transform(sequence(0, {most - 1}), i -> {part})"))
         if targets and name in targets:
-            given = F.create_map(*[F.lit(x) for kv in targets[name].items() for x in kv])
-            named = categories[name].agg(
-                F.map_from_entries(F.collect_list(F.struct(f"{name}_at", F.coalesce(given[F.col(f"_{name}")], F.lit(0.0))))).alias(f"{name}_given")
-            )
-            one = one.join(F.broadcast(named)).withColumn(
-                f"{name}_goal",
-                F.expr(f"transform({name}_sum, (x, i) -> if(x > 0, coalesce(try_element_at({name}_given, i), 0D), 0D))"),
-            )
+            given = F.create_map(*[F.lit(x) for pair in targets[name].items() for x in pair])
+            one = one.withColumn(f"{name}_given", given)
+            category = f"element_at(filter(cells, c -> c.{name}_at = i), 1).{name}_name"
+            goal = f"(x, i) -> if(x > 0, coalesce(try_element_at({name}_given, {category}), 0D), 0D)"
         else:
-            one = one.withColumn(f"{name}_goal", F.expr(f"transform({name}_sum, x -> if(x > 0, power(x, {alpha}D), 0D))"))
-        all_goals = f"aggregate({name}_goal, 0D, (a, x) -> a + x)"
-        one = one.withColumn(f"{name}_goal", F.expr(f"transform({name}_goal, x -> coalesce(x / nullif({all_goals}, 0D), 0D))"))
+            goal = f"x -> if(x > 0, power(x, {alpha}D), 0D)"
+        one = one.withColumn(f"{name}_goal", F.expr(f"transform({name}_sum, {goal})"))
+        total = f"aggregate({name}_goal, 0D, (a, x) -> a + x)"
+        share = f"transform({name}_goal, x -> coalesce(x / nullif({total}, 0D), 0D))"
+        one = one.withColumn(f"{name}_goal", F.expr(share))
     raked = rake(one, rounds)
     top = F.max("factor").over(Window.partitionBy())  # over the bounded number of cells
     return categories, raked.select(*ats, (F.col("factor") / top).alias("probability"))
