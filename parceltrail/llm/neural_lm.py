@@ -196,14 +196,17 @@ class LogBilinear:
             code = code * n + contexts[:, i]
         _, first, inverse = np.unique(code, return_index=True, return_inverse=True)
         vectors = self.predicted(contexts[first])
+        # No score exceeds the product of the norms plus the largest bias. That bound, and the biases, enter the
+        # matrix product as two more columns, so the scores come out ready for the exponential.
+        bound = np.linalg.norm(vectors, axis=1) * np.linalg.norm(self.told, axis=1).max() + self.bias.max()
+        ones = np.ones((max(len(vectors), n), 1), dtype=np.float32)
+        left = np.hstack([vectors, ones[: len(vectors)], -bound[:, None]]).astype(np.float32)
+        right = np.hstack([self.told, self.bias[:, None], ones[:n]]).astype(np.float32).T
         total = np.empty(len(first), dtype=np.float64)
-        for a in range(0, len(first), 2048):
-            scores = vectors[a : a + 2048] @ self.told.T
-            scores += self.bias
-            top = scores.max(axis=1)
-            scores -= top[:, None]
+        for a in range(0, len(first), 1024):
+            scores = left[a : a + 1024] @ right
             np.exp(scores, out=scores)
-            total[a : a + 2048] = np.log(scores.sum(axis=1, dtype=np.float64)) + top
+            total[a : a + 1024] = np.log(scores.sum(axis=1)) + bound[a : a + 1024]
         own = np.einsum("ij,ij->i", vectors[inverse], self.told[target]).astype(np.float64) + self.bias[target]
         return own - total[inverse]
 
