@@ -67,7 +67,7 @@ def main(argv: list[str]) -> int:
     spark.sparkContext.setLogLevel("ERROR")
     con, oracles, failed = connect(sf_dir), oracle_sql(), 0
     for name, query in queries().items():
-        if argv[1:] and name not in argv[1:]:
+        if name not in oracles or argv[1:] and name not in argv[1:]:
             continue
         start = time.time()
         try:
