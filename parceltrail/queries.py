@@ -195,8 +195,9 @@ def csv_mixed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     escaped = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
     lines = documents.select(
-        F.concat_ws(",", F.col("doc_id").cast("string"), escaped).alias("line"),
-        F.pmod("doc_id", F.lit(MIXED_FILES)).cast("int").alias("file"),
+        # A missing value is an empty field (a line without fields would be skipped); the text of a missing id finds a file.
+        F.concat_ws(",", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(escaped, F.lit(""))).alias("line"),
+        F.pmod(F.coalesce("doc_id", F.xxhash64("text")), F.lit(MIXED_FILES)).cast("int").alias("file"),
         F.lit(1).alias("place"),
     )
     headers = spark.range(MIXED_FILES).select(

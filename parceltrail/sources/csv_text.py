@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import csv
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -33,11 +32,26 @@ def _odd_quotes(line: Column) -> Column:
     return F.when(F.contains(text, F.lit("\r")), divided).otherwise(_count(text, '"') % 2 == 1)
 
 
+def _names(header: Column) -> Column:
+    """The names in a header line: what Python's csv module reads, without the blanks around each."""
+    line = F.regexp_replace(header, "^\ufeff", "")
+    fields = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("[^"]*+(?:""[^"]*+)*+"?[^,]*|[^,]*)'), 1)
+
+    def name(field: Column) -> Column:
+        # What follows a closing quote belongs to the name as it is.
+        parts = r'(?s)^"([^"]*+(?:""[^"]*+)*+)"?(.*)$'
+        inside = F.replace(F.regexp_extract(field, parts, 1), F.lit('""'), F.lit('"'))
+        value = F.when(F.startswith(field, F.lit('"')), F.concat(inside, F.regexp_extract(field, parts, 2)))
+        return F.regexp_replace(value.otherwise(field), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+
+    return F.transform(fields, name)
+
+
 @dataclass
 class Look:
     """What one pass over the text tells of the files."""
 
-    # (physical first line of a file, the file), for two different lines at most.
+    # (physical first line of a file, the file): one, or two whose names differ.
     headers: list[tuple[str, str]] = field(default_factory=list)
     # Files to read record by record, by the end of their lines.
     record_wise: dict[str, list[str]] = field(default_factory=dict)
@@ -74,9 +88,12 @@ def look_at_files(spark: SparkSession, path: str, multi_line: bool | None = None
     if multi_line is False:
         files = files.withColumn("broken", F.lit(False))
     found = Look()
-    per_header = files.groupBy("header").agg(F.min("file").alias("file"), F.max(~F.col("broken")).alias("plain"))
-    rows = per_header.orderBy("file").limit(2).collect()
-    found.headers = [(r.header, r.file) for r in rows]
+    # Spellings of the same names are one group, which then holds all files; two groups are an error.
+    per_names = files.groupBy(_names(F.col("header")).alias("names")).agg(
+        F.min(F.struct("file", "header")).alias("least"), F.max(~F.col("broken")).alias("plain")
+    )
+    rows = per_names.orderBy("least.file").limit(2).collect()
+    found.headers = [(r.least.header, r.least.file) for r in rows]
     found.any_line_wise = any(r.plain for r in rows)
     for row in files.where("broken").groupBy("end").agg(F.sort_array(F.collect_list("file")).alias("files")).collect():
         found.record_wise[row.end] = row.files
@@ -90,11 +107,8 @@ def files_with_breaks(spark: SparkSession, path: str) -> list[str]:
 
 def _check_headers(headers: list[tuple[str, str]]) -> None:
     """All files must have the same names, whatever their quotes."""
-    if len(headers) < 2:
-        return
-    (one, first), (two, second) = headers
-    names = [[c.strip() for c in next(csv.reader([h.removeprefix("\ufeff")]), [])] for h in (one, two)]
-    if names[0] != names[1]:
+    if len(headers) > 1:
+        (one, first), (two, second) = headers
         raise ValueError(f"different headers: {one!r} in {first}, {two!r} in {second}")
 
 

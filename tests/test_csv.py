@@ -193,6 +193,44 @@ def test_headers_may_differ_in_quotes(spark, csv):
     assert rows(read_text_csv(spark, path)) == [("1", "x"), ("2", "y")]
 
 
+def test_three_spellings_of_a_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b'id,note\n1,"x\ny"\n')
+    (tmp_path / "b.csv").write_bytes(b'"id","note"\r\n2,"x\r\ny"\r\n')
+    (tmp_path / "c.csv").write_bytes(b'id,"note"\n3,z\n')
+    assert rows(read_text_csv(spark, str(tmp_path))) == [("1", "x\ny"), ("2", "x\r\ny"), ("3", "z")]
+
+
+@pytest.mark.parametrize("multi_line", [None, True, False])
+def test_a_third_header_with_other_names_fails(spark, csv, multi_line):
+    csv("a,a,c\n1,2,3\n", "one.csv")
+    csv('"a",a,c\n1,2,3\n', "three.csv")
+    path = csv("c,a,a\n1,2,3\n", "two.csv")
+    with pytest.raises(ValueError, match="different headers"):
+        read_text_csv(spark, path, multi_line=multi_line)
+
+
+def test_header_names_are_parsed_like_csv(spark):
+    import csv as library
+
+    from pyspark.sql import functions as F
+
+    from parceltrail.sources.csv_text import _names
+
+    lines = ["a,b", ' a ,"b"', '"a ""x"", y",,b', '"a"z,b"c', ",", "a", '"a', "\ufeffid, n", '"a",', '""', 'x,"","y""']
+    df = spark.createDataFrame([(i, h) for i, h in enumerate(lines)], "i int, h string")
+    found = [r.names for r in df.select("i", _names(F.col("h")).alias("names")).orderBy("i").collect()]
+    assert found == [[c.strip() for c in next(library.reader([h.removeprefix("\ufeff")]))] for h in lines]
+
+
+def test_mixed_files_hold_rows_without_id(spark, tmp_path):
+    from parceltrail.queries import csv_mixed_files
+
+    made = [(1, "a"), (2, "b\nc"), (None, "d"), (None, 'e"f'), (None, None), (3, None)]
+    spark.createDataFrame(made, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = csv_mixed_files(spark, str(tmp_path)).collect()
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, made))
+
+
 def test_only_files_with_breaks_are_read_whole(spark, csv):
     csv('a,file_path\n1,"x\ny"\n', "one file%20.csv")
     path = csv("a,file_path\n2,z\n3,w\n", "two.csv")
