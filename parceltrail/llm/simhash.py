@@ -239,9 +239,11 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, most: int = MOST) -> Data
     )
 
 
-def classes(documents: DataFrame, max_bits: int = MAX_BITS, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, _fingerprint, component_id of every row."""
-    prints = stored(with_fingerprint(documents.select("doc_id", "text"), shingle).drop("text"), "fingerprints")
+def classes(documents: DataFrame, max_bits: int = MAX_BITS, shingle: int = SHINGLE, *carried: Column) -> DataFrame:
+    """doc_id, _fingerprint, component_id, _root (the class as a fingerprint) and ``carried`` of every row."""
+    slim = documents.select("doc_id", "text", *carried)
+    more = slim.columns[2:]
+    prints = stored(with_fingerprint(slim, shingle).drop("text"), "fingerprints")
     # A node for each fingerprint, with its smallest id; copies fall together before the shuffle.
     nodes = stored(
         prints.where(F.col("doc_id").isNotNull())
@@ -261,11 +263,20 @@ def classes(documents: DataFrame, max_bits: int = MAX_BITS, shingle: int = SHING
         least, F.col("_at") == F.col("_root"), "left"
     )
     named = stored(
-        named.select(F.col("fingerprint").alias("_print"), F.coalesce("_least", "id").alias("component_id")), "classes"
+        named.select(
+            F.col("fingerprint").alias("_print"),
+            F.coalesce("_least", "id").alias("component_id"),
+            F.col("_at").alias("_root"),
+        ),
+        "classes",
     )
     joined = prints.join(named, F.col("_fingerprint") == F.col("_print"), "left")
     return joined.select(
-        "doc_id", "_fingerprint", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
+        "doc_id",
+        "_fingerprint",
+        F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"),
+        "_root",
+        *more,
     )
 
 
@@ -276,20 +287,32 @@ def digest(documents: DataFrame) -> DataFrame:
 
 
 def keep_first(documents: DataFrame, max_bits: int = MAX_BITS, shingle: int = SHINGLE) -> DataFrame:
-    """``documents`` without all but one row of each class: the one whose id names the class."""
+    """``documents`` without all but one row of each class: a row whose id names the class.
+
+    Rows are decided on by id and text, as an id may stand in several classes. Where a class holds several texts
+    with its smallest id, the one with the least hash stays; of its repeated rows one stays. Rows without an id stay.
+    """
     columns = [F.col(f"`{c}`") for c in documents.columns]
-    key, count, first = free(documents, "_id", "_n", "_first")
-    found = stored(classes(documents, max_bits, shingle).drop("_fingerprint"), "decided")
-    named = found.where(F.col("doc_id").isNotNull())
-    # Ids that stay are those that name a class; an id with several texts stays if one of them is first.
-    ids = named.groupBy(F.col("doc_id").alias(key)).agg(
-        F.count(F.lit(1)).alias(count), F.max(F.col("doc_id") == F.col("component_id")).alias(first)
+    key, text, count = free(documents, "_id", "_hash", "_n")
+    content = F.xxhash64("text")
+    found = stored(classes(documents, max_bits, shingle, content.alias(text)).drop("_fingerprint"), "decided")
+    # Equal texts have one fingerprint, so an id and a text are in one class only.
+    pairs = (
+        found.where(F.col("doc_id").isNotNull())
+        .groupBy(F.col("doc_id").alias(key), text)
+        .agg(F.count(F.lit(1)).alias(count), F.first("component_id").alias("_class"), F.first("_root").alias("_root"))
     )
-    gone = ids.where(~F.col(first)).select(key)
-    many = ids.where(F.col(first) & (F.col(count) > 1)).select(key)
-    same = F.col("doc_id") == F.col(key)
-    rows = documents.join(gone, same, "left_anti")
-    # Repeated ids are rare: mostly ``many`` is empty and its branch falls away at run time.
-    single = rows.join(many, same, "left_anti").select(*columns)
-    again = documents.join(many, same, "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(again.select(*columns))
+    pairs = stored(pairs, "pairs")
+    named = pairs.where(F.col(key) == F.col("_class"))
+    first = named.groupBy("_root", key).agg(F.min(text).alias(text)).select(key, text)
+    gone = pairs.join(first, [key, text], "left_anti").select(key, text)
+    many = named.where(F.col(count) > 1).join(first, [key, text], "left_semi").select(key, text)
+    same = lambda rows: (F.col("doc_id") == F.col(key)) & (content == rows[text])
+    rows = documents.join(gone, same(gone), "left_anti")
+    # Repeated rows are rare: mostly ``many`` is empty and its branch falls away at run time.
+    single = rows.join(many, same(many), "left_anti").select(*columns)
+    # Rows may differ in other columns; their hash decides, so that every run keeps the same one.
+    comparable = [F.col(f"`{f.name}`") for f in documents.schema if "map<" not in f.dataType.simpleString()]
+    again = documents.join(many, same(many), "left_semi").groupBy(F.col("doc_id").alias(key), content.alias(text))
+    again = again.agg(F.min_by(F.struct(*columns), F.xxhash64(*comparable)).alias("_row")).select("_row.*")
+    return single.unionByName(again)

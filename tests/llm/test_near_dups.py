@@ -128,6 +128,22 @@ def test_repeated_rows_leave_one(documents):
     assert sorted(r.doc_id for r in simhash.keep_first(documents(rows)).collect()) == [7, 8]
 
 
+def test_one_id_with_several_texts_keeps_each_class(documents):
+    # 7 has two unlinked texts; 9 a copy of 3's text and one of its own; both texts of 5 are near copies of 4's.
+    near = [prose(4) + end for end in ("", "!", " ")]
+    assert len(set(expected_classes(list(enumerate(near))).values())) == 1
+    rows = [(7, prose(1)), (7, prose(2)), (3, prose(3)), (9, prose(3)), (9, prose(5)), (9, prose(5))]
+    rows += [(4, near[0]), (5, near[1]), (5, near[2]), (6, near[0])]
+    kept = sorted((r.doc_id, r.text) for r in simhash.keep_first(documents(rows)).collect())
+    assert kept == sorted([(7, prose(1)), (7, prose(2)), (3, prose(3)), (9, prose(5)), (4, near[0])])
+
+
+def test_one_text_of_the_first_id_stays(documents):
+    rows = [(4, prose(4), "en", "a"), (4, prose(4) + "!", "en", "a"), (5, prose(4), "en", "a"), (4, prose(4), "fr", "b")]
+    kept = [[tuple(r) for r in simhash.keep_first(documents(rows[::step])).collect()] for step in (1, -1)]
+    assert len(kept[0]) == 1 and kept[0][0][0] == 4 and kept[0] == kept[1]
+
+
 def test_empty_tables(documents):
     assert simhash.digest(documents([])).count() == 0
     assert suffix.digest(documents([])).count() == 0
