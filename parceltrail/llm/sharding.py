@@ -84,10 +84,11 @@ def hilbert_index(df: DataFrame, axes: list[str], bits: int, out: str) -> DataFr
     return df.withColumns({out: index}).drop(*x, "_turn")
 
 
-def keyed(documents: DataFrame) -> DataFrame:
-    """doc_id, size, text_crc32, the three cells and the place on the curve; a slim row per document."""
+def keyed(documents: DataFrame, *carried: Column) -> DataFrame:
+    """doc_id, size, text_crc32, the three cells, ``carried`` and the place on the curve; a row per document."""
     raw = F.coalesce(F.col("text"), F.lit(""))
     slim = documents.select(
+        *carried,
         "doc_id",
         (F.octet_length(raw) + 1).cast("long").alias("size"),
         F.crc32(raw.cast("binary")).alias("text_crc32"),
@@ -100,21 +101,21 @@ def keyed(documents: DataFrame) -> DataFrame:
             "size_cell": _size_cell(F.col("size")),
         }
     )
-    slim = slim.select("doc_id", "size", "text_crc32", "lang_cell", "source_cell", "size_cell")
+    slim = slim.drop("lang", "source")
     return hilbert_index(slim, ["lang_cell", "source_cell", "size_cell"], BITS, "curve")
 
 
 ORDER = ("curve", "text_crc32", "doc_id")
 
 
-def assign(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """doc_id, size, text_crc32, the cells, curve, shard and slot of every document.
+def _placed(documents: DataFrame, shards: int, *carried: Column) -> DataFrame:
+    """What ``keyed`` gives, with shard and slot of every row.
 
     Shard s holds the rows whose place r in the order has floor(r * shards / rows) = s: counts are at
     most one apart. The ordered rows are written once, as two reads of a range exchange may cut differently.
     """
     placed = stored(
-        keyed(documents)
+        keyed(documents, *carried)
         .repartitionByRange(*ORDER)
         .sortWithinPartitions(*ORDER)
         .withColumn("_at", F.monotonically_increasing_id()),
@@ -134,20 +135,26 @@ def assign(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
         .withColumn("_rank", rank)
         .withColumn("shard", F.expr(f"cast(_rank * {shards} div _all as int)"))
         .withColumn("slot", F.expr(f"_rank - (shard * _all + {shards - 1}) div {shards}"))
-        .select("doc_id", "size", "text_crc32", "lang_cell", "source_cell", "size_cell", "curve", "shard", "slot")
+    )
+
+
+def assign(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """doc_id, size, text_crc32, the cells, curve, shard and slot of every document."""
+    return _placed(documents, shards).select(
+        "doc_id", "size", "text_crc32", "lang_cell", "source_cell", "size_cell", "curve", "shard", "slot"
     )
 
 
 def write_shards(documents: DataFrame, path: str, shards: int = SHARDS) -> DataFrame:
     """Write whole documents as one folder for each shard; returns each shard's count and bounds.
 
-    Documents meet their places by id; ids must be unique and present here.
+    A document travels with its key as one struct, so each row gets one place, whatever its id.
     """
-    places = assign(documents, shards).select(F.col("doc_id").alias("_id"), "shard", "slot")
     clash = [c for c in ("shard", "slot") if c in documents.columns]
     if clash:
         raise ValueError(f"columns exist already: {clash}")
-    rows = documents.join(places, documents["doc_id"] == places["_id"]).drop("_id")
+    whole = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_document")
+    rows = _placed(documents, shards, whole).select("_document.*", "shard", "slot")
     rows.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(
         path
     )

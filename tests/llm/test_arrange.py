@@ -100,6 +100,15 @@ def test_written_shards_hold_whole_documents(documents, tmp_path):
     assert sorted(map(tuple, back.select(df.columns).collect())) == sorted(map(tuple, df.collect()))
 
 
+def test_written_shards_hold_rows_without_id_and_repeated_ids(documents, awkward, tmp_path):
+    df = documents(awkward + [(6, prose(50), "de", "c")], "_document _at curve")
+    bounds = sharding.write_shards(df, str(tmp_path / "out"), 4).toPandas()
+    assert bounds.n.sum() == len(awkward) + 1 and bounds.n.max() - bounds.n.min() <= 1
+    back = df.sparkSession.read.parquet(str(tmp_path / "out"))
+    assert sorted(map(str, back.select(df.columns).collect())) == sorted(map(str, df.collect()))
+    assert back.select("shard", "slot").distinct().count() == len(awkward) + 1
+
+
 @pytest.fixture(scope="module")
 def library():
     from tokenizers import Tokenizer
