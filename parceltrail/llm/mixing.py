@@ -6,28 +6,29 @@ marginals hold. A document's probability is its cell's factor, scaled so that th
 document is needed twice, and the sample's expected token shares are the targets.
 
 Targets are tempered shares: (share of the tokens) ^ ALPHA, scaled to sum 1, which lifts rare categories
-and lowers dominant ones; ``targets`` gives other ones. Only DataFrame and SQL functions are used; the
-raking runs in one row's higher-order functions, over at most
-MAX_SOURCES * MAX_LANGUAGES * len(TOPICS) cells whatever the table holds, as all but the largest
-categories of a dimension form one last category together.
+and lowers dominant ones; ``targets`` gives other ones. Only DataFrame and SQL functions are used. Every
+source and every language is a category with a goal of its own, however many there are: the raking
+is sums by category over the table of cells, joined back to the cells.
 
 Defined cases: a missing source or language is a category of its own; a missing or empty text has no
 tokens; a cell without tokens can't be raked, its documents have probability 1; equal ids share one draw,
-so repeated rows stay or go together, and rows without an id share the draw of the empty id; categories of
-equal size rank by name; an empty table gives no rows; further columns are ignored.
+so repeated rows stay or go together, and rows without an id share the draw of the empty id; an empty table
+gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parceltrail.llm.common import stored
 
 ALPHA = 0.9
 ROUNDS = 30
-MAX_SOURCES = 32
-MAX_LANGUAGES = 16
+#: A round that changes no weight by more than this share is the last.
+STILL = 1e-12
+#: Up to so many cells are raked in one task.
+CELLS = 100_000
 #: Topic and the marks of which a text holds one; the first that fits, else "prose".
 TOPICS = (
     ("legal", ("license", "License", "LICENSE", "copyright", "Copyright")),
@@ -35,7 +36,7 @@ TOPICS = (
     ("table", (" | ",)),
     ("web", ("http://", "https://", "www.")),
 )
-DIMENSIONS = (("source", MAX_SOURCES), ("lang", MAX_LANGUAGES), ("topic", len(TOPICS) + 1))
+DIMENSIONS = ("source", "lang", "topic")
 
 
 def topic(text: Column) -> Column:
@@ -64,108 +65,92 @@ def _slim(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", "source", "lang", topic(raw).alias("topic"), tokens(raw).alias("tokens"))
 
 
-def _categories(cells: DataFrame, name: str, most: int) -> DataFrame:
-    """The largest categories of a dimension with their places from 0; fewer than ``most``."""
-    sums = cells.groupBy(name).agg(F.sum("n").alias("n"))
-    order = (F.desc("n"), F.asc_nulls_first(name))
-    top = sums.orderBy(*order).limit(most - 1)
-    place = F.row_number().over(Window.orderBy(*order)) - 1
-    return top.select(F.col(name).alias(f"_{name}"), place.alias(f"{name}_at"))
+def _same(rows: DataFrame, other: DataFrame, names) -> Column:
+    """``names`` of ``rows`` equal those of ``other``, which have an underscore before them; null equals null."""
+    out = F.lit(True)
+    for name in names:
+        out = out & rows[name].eqNullSafe(other[f"_{name}"])
+    return out
 
 
-def _placed(rows: DataFrame, categories: dict[str, DataFrame]) -> DataFrame:
-    """Add each dimension's place; what isn't among the largest gets the last one."""
-    for name, most in DIMENSIONS:
-        rows = rows.join(F.broadcast(categories[name]), F.col(name).eqNullSafe(F.col(f"_{name}")), "left").drop(
-            f"_{name}"
-        )
-        rows = rows.withColumn(f"{name}_at", F.coalesce(f"{name}_at", F.lit(most - 1)))
-    return rows
+def _per_category(cells: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add ``value``, an aggregate over all cells of the same category of a dimension."""
+    sums = cells.groupBy(name).agg(value).withColumnRenamed(name, f"_{name}")
+    if name == "topic":
+        sums = F.broadcast(sums)  # len(TOPICS) + 1 rows
+    return cells.join(sums, _same(cells, sums, [name])).drop(f"_{name}")
 
 
-def _factor_step(dim: str) -> str:
-    """SQL of the factors of one dimension, given those of the others in the state ``st``."""
-    others = " * ".join(f"st.{d}[c.{d}_at]" for d, _ in DIMENSIONS if d != dim)
-    marginal = f"aggregate(cells, 0D, (a, c) -> a + if(c.{dim}_at = i, c.n * {others}, 0D))"
-    return f"transform({dim}_goal, (g, i) -> coalesce(g / nullif({marginal}, 0D), 0D))"
+def _goal(cells: DataFrame, name: str, alpha: float, targets: dict | None) -> DataFrame:
+    """Add <dimension>_goal. Goals need not sum to 1: a dimension's scale falls out of the probabilities."""
+    if targets and name in targets:
+        given = F.create_map(*[F.lit(x) for pair in targets[name].items() for x in pair])
+        return cells.withColumn(f"{name}_goal", F.coalesce(F.try_element_at(given, F.col(name)), F.lit(0.0)).cast("double"))
+    return _per_category(cells, name, F.pow(F.sum("n"), F.lit(alpha)).alias(f"{name}_goal"))
 
 
 def rake(cells: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """source_at, lang_at, topic_at, factor from the cells' tokens n and the goals of each dimension.
+    """``cells`` with the weight w whose sums meet the goals of each dimension, from the tokens n.
 
-    ``cells`` is one row: the array ``cells`` and the arrays ``<dimension>_goal``.
+    Every round is written, which keeps the plan short; rounds that change nothing any more are left out.
     """
-    start = ", ".join(f"'{d}', transform({d}_goal, g -> 1D)" for d, _ in DIMENSIONS)
-    body = "st0"
-    for dim, _ in DIMENSIONS:
-        fields = ", ".join(f"'{d}', " + (_factor_step(d) if d == dim else f"st.{d}") for d, _ in DIMENSIONS)
-        # Each dimension sees the factors that the one before has just set.
-        body = f"aggregate(array(1), {body}, (st, once) -> named_struct({fields}))"
-    fitted = cells.withColumn(
-        "fit", F.expr(f"aggregate(sequence(1, {rounds}), named_struct({start}), (st0, r) -> {body})")
-    )
-    product = " * ".join(f"fit.{d}[c.{d}_at]" for d, _ in DIMENSIONS)
-    ats = ", ".join(f"'{d}_at', c.{d}_at" for d, _ in DIMENSIONS)
-    factors = F.expr(f"transform(cells, c -> named_struct({ats}, 'factor', {product}))")
-    return fitted.select(F.inline(factors))
+    few = cells.count() <= CELLS
+    cells = cells.withColumn("w", F.col("n"))
+    for _ in range(rounds):
+        # What one task can do quickly needs no shuffle.
+        cells = (cells.coalesce(1) if few else cells).withColumn("was", F.col("w"))
+        for name in DIMENSIONS:
+            cells = _per_category(cells, name, F.sum("w").alias("sum"))
+            scaled = F.col("w") * F.col(f"{name}_goal") / F.nullif("sum", F.lit(0.0))
+            cells = cells.withColumn("w", F.coalesce(scaled, F.lit(0.0))).drop("sum")
+        cells = stored(cells, "mix-round")
+        moved = cells.agg(F.max(F.abs(F.col("w") / F.nullif("was", F.lit(0.0)) - 1))).first()[0]
+        if moved is None or moved < STILL:
+            break
+    return cells
 
 
 def calibrate(documents: DataFrame, alpha: float = ALPHA, rounds: int = ROUNDS, targets: dict | None = None):
-    """The categories of each dimension and the cells' probabilities (largest 1).
+    """_source, _lang, _topic, probability (largest 1) of each cell with tokens.
 
     ``targets``: shares by dimension and category name that replace the tempered ones, such as
-    {"lang": {"en": 0.5, "fr": 0.5}}; categories of a named dimension that it leaves out get none. The
-    categories that form the last one together go by the first of their names.
+    {"lang": {"en": 0.5, "fr": 0.5}}; categories of a named dimension that it leaves out get none.
     """
-    sums = _slim(documents).groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("n"))
-    sums = stored(sums.where("n > 0"), "mix-cells")
-    categories = {name: _categories(sums, name, most) for name, most in DIMENSIONS}
-    ats = [f"{name}_at" for name, _ in DIMENSIONS]
-    names = [F.min(name).alias(f"{name}_name") for name, _ in DIMENSIONS]
-    folded = _placed(sums, categories).groupBy(*ats).agg(F.sum("n").cast("double").alias("n"), *names)
-    cells = F.array_sort(F.collect_list(F.struct(*ats, "n", *[f"{name}_name" for name, _ in DIMENSIONS])))
-    one = folded.agg(cells.alias("cells"))
-    for name, most in DIMENSIONS:
-        part = f"aggregate(cells, 0D, (a, c) -> a + if(c.{name}_at = i, c.n, 0D))"
-        one = one.withColumn(f"{name}_sum", F.expr(f"transform(sequence(0, {most - 1}), i -> {part})"))
-        if targets and name in targets:
-            given = F.create_map(*[F.lit(x) for pair in targets[name].items() for x in pair])
-            one = one.withColumn(f"{name}_given", given)
-            category = f"element_at(filter(cells, c -> c.{name}_at = i), 1).{name}_name"
-            goal = f"(x, i) -> if(x > 0, coalesce(try_element_at({name}_given, {category}), 0D), 0D)"
-        else:
-            goal = f"x -> if(x > 0, power(x, {alpha}D), 0D)"
-        one = one.withColumn(f"{name}_goal", F.expr(f"transform({name}_sum, {goal})"))
-        total = f"aggregate({name}_goal, 0D, (a, x) -> a + x)"
-        share = f"transform({name}_goal, x -> coalesce(x / nullif({total}, 0D), 0D))"
-        one = one.withColumn(f"{name}_goal", F.expr(share))
-    raked = rake(one, rounds)
-    top = F.max("factor").over(Window.partitionBy())  # over the bounded number of cells
-    return categories, raked.select(*ats, (F.col("factor") / top).alias("probability"))
+    sums = _slim(documents).groupBy(*DIMENSIONS).agg(F.sum("tokens").cast("double").alias("n"))
+    cells = stored(sums.where("n > 0"), "mix-cells")
+    for name in DIMENSIONS:
+        cells = _goal(cells, name, alpha, targets)
+    raked = rake(stored(cells, "mix-goals"), rounds)
+    factor = F.col("w") / F.col("n")
+    top = F.broadcast(raked.agg(F.max(factor).alias("top")))
+    probability = F.coalesce(factor / F.nullif("top", F.lit(0.0)), F.lit(0.0))
+    names = [F.col(name).alias(f"_{name}") for name in DIMENSIONS]
+    return stored(raked.crossJoin(top).select(*names, probability.alias("probability")), "mix-factors")
+
+
+def _with_probability(rows: DataFrame, cells: DataFrame) -> DataFrame:
+    """Rows find their cell without a shuffle: the cells, not the documents, are sent."""
+    found = rows.join(F.broadcast(cells), _same(rows, cells, DIMENSIONS), "left")
+    return found.withColumn("probability", F.coalesce("probability", F.lit(1.0)))
 
 
 def mix(documents: DataFrame, **how) -> DataFrame:
     """doc_id, source, lang, topic, tokens, probability, kept of every row of ``documents``."""
-    categories, cells = calibrate(documents, **how)
-    ats = [f"{name}_at" for name, _ in DIMENSIONS]
-    rows = _placed(_slim(documents), categories).join(F.broadcast(cells), ats, "left")
-    probability = F.coalesce("probability", F.lit(1.0))
+    rows = _with_probability(_slim(documents), calibrate(documents, **how))
     return rows.select(
         "doc_id",
         "source",
         "lang",
         "topic",
         "tokens",
-        probability.alias("probability"),
+        "probability",
         # The largest factor divided by itself is 1 and no draw reaches it.
-        (draw(F.col("doc_id")) < probability).alias("kept"),
+        (draw(F.col("doc_id")) < F.col("probability")).alias("kept"),
     )
 
 
 def sample(documents: DataFrame, **how) -> DataFrame:
     """The rows of ``documents`` that the mixture keeps, with their columns; text is not shuffled."""
-    categories, cells = calibrate(documents, **how)
-    ats = [f"{name}_at" for name, _ in DIMENSIONS]
     columns = documents.columns
     raw = F.coalesce(F.col("text"), F.lit(""))
     # The document travels as one struct, so that none of its columns clashes with the ones used here.
@@ -173,6 +158,5 @@ def sample(documents: DataFrame, **how) -> DataFrame:
         F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_document"),
         F.col("doc_id").alias("_id"), "source", "lang", topic(raw).alias("topic"),
     )
-    rows = _placed(rows, categories).join(F.broadcast(cells), ats, "left")
-    kept = rows.where(draw(F.col("_id")) < F.coalesce("probability", F.lit(1.0)))
-    return kept.select("_document.*")
+    rows = _with_probability(rows, calibrate(documents, **how))
+    return rows.where(draw(F.col("_id")) < F.col("probability")).select("_document.*")

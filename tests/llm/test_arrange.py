@@ -40,6 +40,31 @@ def test_small_categories_fold_into_the_last(documents):
     assert (per_source == 1).all() and len(found) == 300
 
 
+@pytest.mark.parametrize("cells", [mixing.CELLS, 10])
+def test_every_source_and_language_meets_its_own_target(documents, monkeypatch, cells):
+    """60 sources and 20 languages; with few cells to a task the sums are shuffled."""
+    monkeypatch.setattr(mixing, "CELLS", cells)
+    rng = random.Random(7)
+    rows = [
+        (i, prose(i, rng.randint(5, 30 + 5 * (i % 60))), f"l{rng.randrange(20)}", None if i % 60 == 59 else f"s{i % 60}")
+        for i in range(1500)
+    ]
+    df = documents(rows)
+    found = mixing.mix(df).toPandas()
+    found["weight"] = found.tokens * found.probability
+    for name in ("source", "lang"):
+        sums = found.groupby(name, dropna=False)[["tokens", "weight"]].sum()
+        goal = sums.tokens**mixing.ALPHA
+        assert np.allclose(sums.weight / sums.weight.sum(), goal / goal.sum(), rtol=1e-6)
+    if cells > 10:
+        # The first name has no target, all others have one.
+        targets = {"source": {f"s{i}": 1 + i % 3 for i in range(1, 59)}}
+        found = mixing.mix(df, targets=targets).toPandas()
+        weight = (found.tokens * found.probability).groupby(found.source, dropna=False).sum()
+        goal = {name: targets["source"].get(name, 0) for name in weight.index}
+        assert np.allclose(weight / weight.sum(), [goal[n] / sum(goal.values()) for n in weight.index], rtol=1e-6)
+
+
 def test_mixing_awkward_rows(documents, awkward):
     df = documents(awkward, "topic tokens probability _document _id n")
     found = mixing.mix(df).collect()
