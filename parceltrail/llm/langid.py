@@ -3,8 +3,10 @@
 A text's vector holds the counts of its hashed byte n-grams (n of 2 and 3, ASCII punctuation, digits and
 case folded away), damped by log(1 + tf), weighted by idf and scaled to length 1. Each language has up to
 CLUSTERS centroids (spherical k-means over a bounded sample of its documents); the centroid with the
-largest cosine gives the language. A text is rejected if it lies far from every centroid: its largest
-cosine is below a third of the smallest one in the whole sample.
+largest cosine gives the language. A text is rejected if it lies far from its centroid: its cosine is
+below SLACK times the QUANTILE of the cosines of that centroid's members of about the same length (in distinct
+n-grams). Members are the sampled texts and their beginnings, so that short lengths are known too; a member's cosine
+is taken to the centroid without it. Where a centroid has few members of a length, its language's count.
 
 Document frequencies are counted over all training documents; only the k-means sample is bounded, at about
 SAMPLE documents a language (each is drawn by a hash of its id). The driver sees the centroids and one
@@ -32,6 +34,12 @@ from parceltrail.llm.common import free, id_crc, with_columns
 DIMS = 4096
 CLUSTERS = 4
 SAMPLE = 1200
+#: Of each centroid's members so large a share lies below the bound, which is then lowered by a factor.
+QUANTILE, SLACK = 0.01, 0.9
+#: Lengths are told apart by doubling; fewer members than MEMBERS don't make a bound of a centroid's own.
+LENGTHS, MEMBERS = 13, 30
+#: Bytes of the beginnings of sampled texts.
+STARTS = (8, 16, 32, 64, 128, 256, 512, 1024, 2048)
 #: Texts are worked on in groups of about so many bytes and at most so many rows.
 GROUP_BYTES, GROUP_ROWS = 1 << 20, 512
 UNKNOWN = "und"
@@ -73,6 +81,11 @@ def groups(texts: list[bytes]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+def length_class(vectors: np.ndarray) -> np.ndarray:
+    """Doublings of the number of distinct n-grams of each vector."""
+    return np.log2(np.maximum((vectors > 0).sum(axis=1), 1)).astype(int)
+
+
 def vectors(texts: list[bytes], idf: np.ndarray) -> np.ndarray:
     weighed = np.log1p(features(texts).astype(np.float32)) * idf
     norms = np.linalg.norm(weighed, axis=1, keepdims=True)
@@ -87,7 +100,7 @@ def has_letter(text: bytes) -> bool:
 class Model:
     langs: list[str]  # of each centroid
     centroids: np.ndarray
-    least: float  # cosine below which a text is rejected
+    least: np.ndarray  # cosine below which a text is rejected, by centroid and length class
     idf: np.ndarray
 
     def predict(self, texts: list[bytes]) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -97,14 +110,16 @@ class Model:
             letters = [has_letter(t) for t in part]
             if not self.langs:
                 letters = [False] * len(part)
-                best = cosine = np.zeros(len(part), dtype=int)
+                best = cosine = least = np.zeros(len(part), dtype=int)
             else:
-                cosines = vectors(part, self.idf) @ self.centroids.T
+                points = vectors(part, self.idf)
+                cosines = points @ self.centroids.T
                 best = cosines.argmax(axis=1)
                 cosine = np.clip(cosines[np.arange(len(part)), best], 0, 1)
+                least = self.least[best, length_class(points)]
             names += [self.langs[i] if ok else UNKNOWN for i, ok in zip(best, letters)]
             scores.append(np.where(letters, cosine, 0.0))
-            rejected.append((cosine < self.least) | ~np.array(letters))
+            rejected.append((cosine < least) | ~np.array(letters))
         if not texts:
             return [], np.zeros(0), np.zeros(0, dtype=bool)
         return names, np.concatenate(scores).astype(float), np.concatenate(rejected)
@@ -136,7 +151,7 @@ def _frequencies(training: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def _cluster(points: np.ndarray, k: int, rounds: int = 12) -> tuple[np.ndarray, np.ndarray]:
-    """Spherical k-means from spread-out starts: centroids, and each point's cosine to its centroid."""
+    """Spherical k-means from spread-out starts: centroids, and the one of each point."""
     centres = [points.mean(axis=0)]
     nearest = np.full(len(points), -np.inf)
     for _ in range(min(k, len(points)) - 1):
@@ -152,18 +167,54 @@ def _cluster(points: np.ndarray, k: int, rounds: int = 12) -> tuple[np.ndarray,
         filled = np.bincount(own, minlength=len(centres)) > 0
         centres[filled] = sums[filled]
     centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
-    cosines = points @ centres.T
-    own, best = cosines.argmax(axis=1), cosines.max(axis=1)
-    kept = [c for c in range(len(centres)) if (own == c).any()]
-    least = np.array([best[own == c].min() for c in kept])
-    return centres[kept], least
+    kept, own = np.unique((points @ centres.T).argmax(axis=1), return_inverse=True)
+    return centres[kept], own
+
+
+def _bounds(texts: list[bytes], points: np.ndarray, centres: np.ndarray, own: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Least cosine of a text by centroid and length class, from the members of one language's centroids."""
+    sums = np.zeros_like(centres)
+    np.add.at(sums, own, points)
+    nearest, lengths, cosines = [], [], []
+
+    def add(of: np.ndarray, pieces: np.ndarray) -> None:
+        """``pieces`` of the points ``of``, against the centroids without those points."""
+        found = pieces @ centres.T
+        at = np.arange(len(of))
+        rest = sums[own[of]] - points[of]
+        norms = np.linalg.norm(rest, axis=1)
+        # A centroid of one point has nothing left; its member goes to the nearest of the others.
+        found[at, own[of]] = np.where(norms > 1e-4, (pieces * rest).sum(axis=1) / np.maximum(norms, 1e-4), -1)
+        nearest.append(found.argmax(axis=1))
+        lengths.append(length_class(pieces))
+        cosines.append(np.maximum(found.max(axis=1), 0))
+
+    for a, b in groups(texts):
+        add(np.arange(a, b), points[a:b])
+        for size in STARTS:
+            of = np.array([i for i in range(a, b) if len(texts[i]) > size and has_letter(texts[i][:size])], dtype=int)
+            if len(of):
+                pieces = vectors([texts[i][:size] for i in of], idf)
+                some = np.linalg.norm(pieces, axis=1) > 0
+                add(of[some], pieces[some])
+    nearest, lengths, cosines = map(np.concatenate, (nearest, lengths, cosines))
+    out = np.zeros((len(centres), LENGTHS))
+    for length in range(LENGTHS):
+        here = lengths == length
+        for c in range(len(centres)):
+            members = here & (nearest == c)
+            members = members if members.sum() >= MEMBERS else here
+            # Without any text so long, the next shorter ones tell.
+            before = out[c, length - 1] if length else 0.0
+            out[c, length] = SLACK * np.quantile(cosines[members], QUANTILE) if members.any() else before
+    return out
 
 
 def train(documents: DataFrame, clusters: int = CLUSTERS, sample: int = SAMPLE) -> Model:
     training = documents.where(~held_out() & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
     seen, n = _frequencies(training)
     if not n:
-        return Model([], np.zeros((0, DIMS)), 0.0, np.ones(DIMS))
+        return Model([], np.zeros((0, DIMS)), np.zeros((0, LENGTHS)), np.ones(DIMS))
     idf = (np.log((1 + n) / (1 + seen)) + 1).astype(np.float32)
 
     # As many counts as languages; as literals they make the draw a filter of the scan, before any shuffle.
@@ -175,18 +226,20 @@ def train(documents: DataFrame, clusters: int = CLUSTERS, sample: int = SAMPLE)
     def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         texts = [t.encode() for t in rows["text"].fillna("").sort_values()]
         points = np.concatenate([vectors(texts[a:b], idf) for a, b in groups(texts)])
-        points = points[np.linalg.norm(points, axis=1) > 0]
+        some = (np.linalg.norm(points, axis=1) > 0) & np.array([has_letter(t) for t in texts])
+        texts, points = [t for t, ok in zip(texts, some) if ok], points[some]
         if not len(points):
             return pd.DataFrame({"lang": [], "least": [], "centroid": []})
-        centres, least = _cluster(points, clusters)
-        return pd.DataFrame({"lang": key[0], "least": least.astype(float), "centroid": [c.tolist() for c in centres]})
+        centres, own = _cluster(points, clusters)
+        least = _bounds(texts, points, centres, own, idf)
+        return pd.DataFrame({"lang": key[0], "least": least.tolist(), "centroid": [c.tolist() for c in centres]})
 
-    fitted = drawn.groupBy("lang").applyInPandas(fit, "lang string, least double, centroid array<float>")
+    fitted = drawn.groupBy("lang").applyInPandas(fit, "lang string, least array<double>, centroid array<float>")
     rows = sorted(fitted.collect(), key=lambda r: (r["lang"], list(r["centroid"])))  # CLUSTERS rows a language
     return Model(
         [r["lang"] for r in rows],
         np.array([r["centroid"] for r in rows], dtype=np.float32).reshape(len(rows), DIMS),
-        min((r["least"] for r in rows), default=0.0) / 3,
+        np.array([r["least"] for r in rows]).reshape(len(rows), LENGTHS),
         idf,
     )
 

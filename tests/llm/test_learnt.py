@@ -58,6 +58,28 @@ def test_far_texts_and_texts_without_letters_are_rejected(languages, documents):
     assert all(found[i].s == 0 for i in (1, 2, 3))
 
 
+UNLEARNT = [
+    "Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura, che la diritta via era smarrita. Ahi quanto "
+    "a dir qual era è cosa dura questa selva selvaggia e aspra e forte che nel pensier rinova la paura",
+    "Litwo! Ojczyzno moja! ty jesteś jak zdrowie. Ile cię trzeba cenić, ten tylko się dowie, kto cię stracił. Dziś "
+    "piękność twą w całej ozdobie widzę i opisuję, bo tęsknię po tobie",
+    "aGVsbG8gd29ybGQgdGhpcyBpcyBqdW5r Zm9vYmFyYmF6cXV4 QmFzZTY0IGlzIG5vdCBhIGxhbmd1YWdl WlhYUVZLSkdXUA dGVzdGluZzEyMw "
+    "bG9yZW0gaXBzdW0gZG9sb3Igc2l0 YW1ldCBjb25zZWN0ZXR1ciBhZGlwaXNjaW5n ZWxpdCBzZWQgZG8gZWl1c21vZA",
+]
+
+
+def test_unlearnt_languages_and_junk_are_rejected(spark):
+    """Latin letters too, and clean held-out texts stay; one odd document in the sample doesn't move the bound."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    odd = spark.createDataFrame([(10**9 + i, "x" * (2 + i), "en") for i in range(3)], docs.schema)
+    model = langid.train(docs.union(odd))
+    _, scores, rejected = model.predict([t.encode() for t in UNLEARNT])
+    assert rejected.all(), scores
+    clean = docs.where(langid.held_out()).collect()
+    _, _, rejected = model.predict([(r.text or "").encode() for r in clean])
+    assert rejected.mean() < 0.05
+
+
 def test_langid_on_awkward_rows(documents, awkward):
     df = documents(awkward, "_lang _score _rejected")
     found = langid.digest(df).collect()
