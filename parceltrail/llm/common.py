@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parceltrail.session import scratch_dir
@@ -77,3 +77,25 @@ def with_columns(
 
 def count_rows(df: DataFrame) -> int:
     return df.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+
+
+_ROW = (1 << 33) - 1
+
+
+def numbered(df: DataFrame, order: list[str], out: str, label: str) -> DataFrame:
+    """``df``, written, with the place (from 0) of every row in the order of ``order``; missing values come first.
+
+    Rows are dealt by range and sorted; only the partitions' sizes are summed up in one place. ``order`` should tell
+    rows apart, as equal keys share a partition. Ordered rows are written once, as two reads of a range
+    exchange may cut differently.
+    """
+    at, part, first, n = free(df, "_at", "_part", "_first", "_n")
+    rows = stored(
+        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(at, F.monotonically_increasing_id()), label
+    ).withColumn(part, F.shiftright(at, 33))
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    # One row for each partition of the exchange: their number is a setting, not the data's size.
+    sizes = rows.groupBy(part).agg(F.count(F.lit(1)).alias(n))
+    sizes = sizes.select(part, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(first))
+    place = F.col(first) + F.col(at).bitwiseAND(F.lit(_ROW))
+    return rows.join(F.broadcast(sizes), part).withColumn(out, place).drop(at, part, first)

@@ -66,4 +66,69 @@ FROM scored
 QUALIFY rank <= 5
 """
 
-ORACLE = {"op1_mix_sources": MIX, "op7_exact_topk": TOP_K}
+MERKLE = """
+WITH RECURSIVE fields AS (
+  SELECT doc_id, lang, text, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-')
+      || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-')
+      || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+    -- crc32 of the decimal id: a step for each bit of each character
+    xor(4294967295, list_reduce(
+      list_prepend(CAST(4294967295 AS BIGINT), list_transform(
+        string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+      lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), CAST(range(8) AS BIGINT[])),
+        lambda r, i: xor(r >> 1, 3988292384 * (r & 1))))) % 3 = 0 AS tampered
+  FROM documents
+),
+leaves AS (
+  SELECT doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN tampered THEN sha256(head || coalesce(strlen(lowered) || ':' || lowered, '-')) END AS changed
+  FROM fields
+),
+langs AS (SELECT lang, count(*) AS n, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree FROM leaves GROUP BY lang),
+placed AS (
+  SELECT doc_id, tree, n, leaf, coalesce(changed, leaf) AS replaced,
+    row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place
+  FROM leaves JOIN langs ON leaves.lang IS NOT DISTINCT FROM langs.lang
+),
+up AS (
+  SELECT 0 AS level, tree, place, n, leaf AS digest FROM placed
+  UNION ALL
+  SELECT level + 1, tree, place // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY place))
+  FROM up WHERE n > 1 GROUP BY level, tree, place // 8, n
+),
+crown AS (
+  SELECT 0 AS level, tree AS place, count(*) OVER () AS n, digest FROM up WHERE n = 1
+  UNION ALL
+  SELECT level + 1, place // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY place))
+  FROM crown WHERE n > 1 GROUP BY level, place // 8, n
+),
+folded AS (
+  SELECT 0 AS level, doc_id, leaf, tree, place AS own, place, n, replaced AS digest, '' AS proof FROM placed
+  UNION ALL
+  SELECT f.level + 1, f.doc_id, f.leaf, f.tree, f.own, f.place // 8, (f.n + 7) // 8,
+    sha256(string_agg(CASE WHEN u.place = f.place THEN f.digest ELSE u.digest END, '' ORDER BY u.place)),
+    f.proof || coalesce(string_agg(u.digest, '' ORDER BY u.place) FILTER (u.place <> f.place), '')
+  FROM folded AS f JOIN up AS u ON u.level = f.level AND u.tree = f.tree AND u.place // 8 = f.place // 8
+  WHERE f.n > 1
+  GROUP BY f.level, f.doc_id, f.leaf, f.tree, f.own, f.place, f.n, f.digest, f.proof
+),
+crowned AS (
+  SELECT 0 AS level, f.doc_id, f.leaf, f.tree, f.own, f.tree AS place, c.n, f.digest, f.proof
+  FROM folded AS f JOIN crown AS c ON c.level = 0 AND c.place = f.tree WHERE f.n = 1
+  UNION ALL
+  SELECT f.level + 1, f.doc_id, f.leaf, f.tree, f.own, f.place // 8, (f.n + 7) // 8,
+    sha256(string_agg(CASE WHEN u.place = f.place THEN f.digest ELSE u.digest END, '' ORDER BY u.place)),
+    f.proof || coalesce(string_agg(u.digest, '' ORDER BY u.place) FILTER (u.place <> f.place), '')
+  FROM crowned AS f JOIN crown AS u ON u.level = f.level AND u.place // 8 = f.place // 8
+  WHERE f.n > 1
+  GROUP BY f.level, f.doc_id, f.leaf, f.tree, f.own, f.place, f.n, f.digest, f.proof
+)
+SELECT f.doc_id, f.leaf, s.digest AS subroot, r.digest AS root, sha256(f.proof) AS proof_sha256,
+  f.digest AS folded_root, f.digest = r.digest AS verified
+FROM crowned AS f JOIN crown AS s ON s.level = 0 AND s.place = f.tree CROSS JOIN (SELECT digest FROM crown WHERE n = 1) AS r
+WHERE f.n = 1
+"""
+
+ORACLE = {"op1_mix_sources": MIX, "op7_exact_topk": TOP_K, "op11_manifest": MERKLE}

@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parceltrail.llm import langid, mixing, neural_lm, packing, quality, rp_forest, sharding, simhash, suffix, va_file
+from parceltrail.llm import (
+    langid,
+    merkle,
+    mixing,
+    neural_lm,
+    packing,
+    quality,
+    rp_forest,
+    sharding,
+    simhash,
+    suffix,
+    va_file,
+)
 from parceltrail.llm.common import table
 from parceltrail.llm.oracle import ORACLE
 
@@ -53,6 +65,10 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.digest(table(spark, sf_dir, "documents"))
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_lm_score": op2_lm_score,
@@ -64,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_shards": op9_shards,
     "op10_langid": op10_langid,
+    "op11_manifest": op11_manifest,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
