@@ -131,4 +131,56 @@ FROM crowned AS f JOIN crown AS s ON s.level = 0 AND s.place = f.tree CROSS JOIN
 WHERE f.n = 1
 """
 
-ORACLE = {"op1_mix_sources": MIX, "op7_exact_topk": TOP_K, "op11_manifest": MERKLE}
+
+def _codes(rounds: int = 6) -> str:
+    """Each round is a pair of tables: the assigned parts and the codebooks that follow from them."""
+    assigned = """
+a{r} AS MATERIALIZED (
+  SELECT vec_id, copy, p, part, arg_min(e, far * 16 + e) AS e, min(far) AS far
+  FROM (SELECT parts.*, e, coalesce(CAST(list_sum(list_transform(list_zip(part, entry),
+          lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT), 0) AS far
+        FROM parts JOIN c{r} USING (p))
+  GROUP BY ALL
+)"""
+    better = """
+c{next} AS MATERIALIZED (
+  SELECT p, e, coalesce(mean, entry) AS entry
+  FROM c{r} LEFT JOIN (
+    SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS mean
+    FROM (SELECT p, e, i, sum(part[i]) AS s, count(*) AS n
+          FROM (SELECT p, e, part, unnest(range(1, len(part) + 1)) AS i FROM a{r}) GROUP BY p, e, i)
+    GROUP BY p, e) USING (p, e)
+)"""
+    steps = [(assigned + "," + better).format(r=r, next=r + 1) for r in range(rounds)]
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS copy, v
+  FROM (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+),
+parts AS MATERIALIZED (
+  SELECT vec_id, copy, p, v[p * (len(v) // 8) + 1 : (p + 1) * (len(v) // 8)] AS part
+  FROM (SELECT *, unnest(range(8)) AS p FROM kept)
+),
+c0 AS MATERIALIZED (SELECT p, copy - 1 AS e, part AS entry FROM parts WHERE copy <= 16),
+{",".join(steps)},
+{assigned.format(r=rounds)},
+coded AS (
+  SELECT copy, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(far) AS BIGINT) AS error
+  FROM a{rounds} GROUP BY copy
+),
+books AS (
+  SELECT sha256(string_agg(array_to_string(entry, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c{rounds}
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (copy) CROSS JOIN books
+"""
+
+
+ORACLE = {
+    "op1_mix_sources": MIX,
+    "op7_exact_topk": TOP_K,
+    "op11_manifest": MERKLE,
+    "op12_codes": _codes(),
+}

@@ -13,6 +13,7 @@ from parceltrail.llm import (
     mixing,
     neural_lm,
     packing,
+    part_codes,
     quality,
     rp_forest,
     sharding,
@@ -69,6 +70,10 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.digest(table(spark, sf_dir, "documents"))
 
 
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return part_codes.digest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_lm_score": op2_lm_score,
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_shards": op9_shards,
     "op10_langid": op10_langid,
     "op11_manifest": op11_manifest,
+    "op12_codes": op12_codes,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
