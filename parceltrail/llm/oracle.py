@@ -178,9 +178,45 @@ FROM kept JOIN coded USING (copy) CROSS JOIN books
 """
 
 
+NEAR = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+sets AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) < 2 THEN w
+    ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END)) AS s
+  FROM worded
+),
+nodes AS MATERIALIZED (
+  SELECT s, min(doc_id) AS node, len(s) AS n FROM sets WHERE len(s) > 0 AND doc_id IS NOT NULL GROUP BY s
+),
+shingles AS MATERIALIZED (SELECT node, n, unnest(s) AS shingle FROM nodes),
+links AS MATERIALIZED (
+  SELECT a.node AS a, b.node AS b
+  FROM shingles AS a JOIN shingles AS b ON a.shingle = b.shingle AND a.node < b.node
+  GROUP BY a.node, b.node, a.n, b.n
+  HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+),
+both_ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+  SELECT a AS node, b AS other FROM both_ways
+  UNION
+  SELECT r.node, l.b FROM reached AS r JOIN both_ways AS l ON r.other = l.a
+),
+smallest AS (SELECT node, min(other) AS other FROM reached GROUP BY node)
+SELECT sets.doc_id, CAST(len(sets.s) AS BIGINT) AS n_shingles,
+  CASE WHEN sets.doc_id IS NOT NULL THEN least(coalesce(nodes.node, sets.doc_id), coalesce(smallest.other, sets.doc_id)) END
+    AS component_id,
+  sets.doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM sets LEFT JOIN nodes ON sets.s = nodes.s LEFT JOIN smallest ON smallest.node = nodes.node
+"""
+
 ORACLE = {
     "op1_mix_sources": MIX,
     "op7_exact_topk": TOP_K,
     "op11_manifest": MERKLE,
     "op12_codes": _codes(),
+    "op13_minhash": NEAR,
 }

@@ -12,6 +12,7 @@ from parceltrail.llm import (
     merkle,
     mixing,
     neural_lm,
+    odd_sketch,
     packing,
     part_codes,
     quality,
@@ -74,6 +75,10 @@ def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part_codes.digest(table(spark, sf_dir, "embeddings"))
 
 
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return odd_sketch.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_lm_score": op2_lm_score,
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_langid": op10_langid,
     "op11_manifest": op11_manifest,
     "op12_codes": op12_codes,
+    "op13_minhash": op13_minhash,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
