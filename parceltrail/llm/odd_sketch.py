@@ -8,12 +8,14 @@ A node has SAMPLES MinHash samples. Four of them make a band, and nodes with an
 are folded into an odd sketch, a bitmap in which a bit says whether an odd number of samples fell on it. The XOR of two sketches
 is the sketch of the samples in which they differ, so its population count gives an estimate of the similarity that is
 sharpest for similar sets. A pair below CHECKED, which is seven standard deviations below 0.8, is dropped; every other
-candidate is confirmed on the full sets.
+candidate is confirmed on the full sets. Where many candidates meet, a second odd sketch, of all shingles instead of the samples, comes
+first: the bits in which two of them differ are never more than the shingles in which the sets differ, so it drops
+only pairs that can't be linked, and nearly all of these.
 
 The pairs of a bucket are never all listed. First each member is paired with the bucket's least one (the only pair of most
 buckets). What these confirmed links connect needs no more pairs. In buckets that still hold several classes each member
 proposes its best partner of another class, until no proposal is confirmed, and then the remaining pairs of different
-classes whose estimate is high enough are listed. These steps compare sketches within chunks of a bucket, so that a
+classes that both sketches allow are listed. These steps compare sketches within chunks of a bucket, so that a
 bucket of any size is many tasks; chunks of one and the same class never meet.
 
 Defined cases: a missing or empty text, or one of blanks only, has an empty set, is linked with nothing and kept; a text of one
@@ -41,6 +43,8 @@ from parceltrail.llm.components import components
 #: Links have LEAST percent of the union in common; pairs whose estimate is below CHECKED can't have.
 LEAST, CHECKED = 80, 0.55
 SAMPLES, BAND, BITS = 128, 4, 1024
+#: Bits of the sketch of all shingles.
+WIDE = 4096
 #: Bytes of a text that are split into words at a time, words whose hash a task remembers.
 PIECE, WORDS = 1 << 20, 1 << 20
 #: Shingles and documents that are sampled at a time.
@@ -128,6 +132,17 @@ def sketches(found: np.ndarray) -> np.ndarray:
     return np.packbits(odd.reshape(len(found), BITS), axis=1).view(np.uint64)
 
 
+def wide_sketch(found: np.ndarray) -> bytes:
+    """Odd sketch of all shingles of a set."""
+    bit = (_mix(found) >> _U(64 - WIDE.bit_length() + 1)).astype(np.int64)
+    return np.packbits(np.bincount(bit, minlength=WIDE).astype(np.uint8) & 1).tobytes()
+
+
+def can_link(differing: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether sets of ``sizes`` shingles together may be linked, if they differ in ``differing`` shingles at least."""
+    return differing * (100 + LEAST) <= sizes * (100 - LEAST)
+
+
 def similarity(differing: np.ndarray) -> np.ndarray:
     """Estimate from the number of bits in which two sketches differ."""
     share = np.minimum(2 * differing / BITS, 1 - 1 / BITS)
@@ -205,7 +220,7 @@ def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _sets(documents: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node, set of the nodes in ``wanted``, written; a node's text is looked up by its id and content."""
+    """node, set, wide of the nodes in ``wanted``, written; a node's text is looked up by its id and content."""
     asked = nodes.join(wanted, "node").select("node", F.col("id").alias("_id"), F.col("content").alias("_content"))
     texts = documents.select("doc_id", "text", F.xxhash64("text").alias("content"))
     found = texts.join(asked, (F.col("doc_id") == F.col("_id")) & (F.col("content") == F.col("_content")))
@@ -213,14 +228,19 @@ def _sets(documents: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
         for batch in batches:
-            sets = [shingles(t, words).view(np.int64) for t in text_bytes(batch)]
+            sets = [shingles(t, words) for t in text_bytes(batch)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "set"]
+                [
+                    batch.column("node"),
+                    pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                    pa.array([wide_sketch(s) for s in sets], pa.binary()),
+                ],
+                names=["node", "set", "wide"],
             )
 
-    sets = found.select("node", "text").mapInArrow(run, "node long, set array<long>")
+    sets = found.select("node", "text").mapInArrow(run, "node long, set array<long>, wide binary")
     # A row that is repeated in the table gives its node several times.
-    return stored(sets.groupBy("node").agg(F.first("set").alias("set")), "sets")
+    return stored(sets.groupBy("node").agg(F.first("set").alias("set"), F.first("wide").alias("wide")), "sets")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -233,7 +253,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _chunked(members: DataFrame) -> DataFrame:
-    """``members`` (bucket, node, class, ..) dealt to pairs of chunks: low <= high, and the row's own chunk.
+    """``members`` (bucket, node, class) dealt to pairs of chunks: low <= high, and the row's own chunk.
 
     A class that fills chunks of its bucket alone has chunks of its own, which needn't meet each other.
     """
@@ -264,9 +284,12 @@ def _chunked(members: DataFrame) -> DataFrame:
 
 
 def _compare(rows: pa.Table, best_only: bool) -> pa.Table:
-    """Pairs of a pair of chunks that a link may join: of different classes, with a high enough estimate."""
+    """Pairs of a pair of chunks that a link may join: of different classes, and allowed by both sketches."""
     node, cls, n, chunk = (rows.column(c).to_numpy() for c in ("node", "class", "n", "chunk"))
-    sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), dtype=np.uint64).reshape(-1, BITS // 64)
+    sketch, wide = (
+        np.frombuffer(b"".join(rows.column(c).to_pylist()), dtype=np.uint64).reshape(-1, bits // 64)
+        for c, bits in (("sketch", BITS), ("wide", WIDE))
+    )
     low, high = rows.column("low")[0].as_py(), rows.column("high")[0].as_py()
     left, right = np.flatnonzero(chunk == low), np.flatnonzero(chunk == high)
     found = []
@@ -280,12 +303,17 @@ def _compare(rows: pa.Table, best_only: bool) -> pa.Table:
         near[(cls[i, None] == cls[None, right]) | ~sized] = 0
         if low == high and not best_only:
             near[i[:, None] >= right[None, :]] = 0
+        x, y = np.nonzero(near >= CHECKED)
+        apart = np.bitwise_count(wide[i[x]] ^ wide[right[y]]).sum(axis=1, dtype=np.int64)
+        keep = can_link(apart, n[i[x]] + n[right[y]])
+        x, y = x[keep], y[keep]
         if best_only:
-            x, y = np.arange(len(i)), near.argmax(axis=1) if len(right) else np.zeros(len(i), dtype=np.int64)
-            keep = near[x, y] >= CHECKED if len(right) else np.zeros(len(i), dtype=bool)
-            x, y = x[keep], y[keep]
-        else:
-            x, y = np.nonzero(near >= CHECKED)
+            # The first of each row after sorting by row and estimate.
+            order = np.lexsort((-near[x, y], x))
+            x, y = x[order], y[order]
+            first = np.ones(len(x), dtype=bool)
+            first[1:] = x[1:] != x[:-1]
+            x, y = x[first], y[first]
         found.append((node[i[x]], node[right[y]]))
     one = np.concatenate([f[0] for f in found]) if found else np.empty(0, dtype=np.int64)
     other = np.concatenate([f[1] for f in found]) if found else np.empty(0, dtype=np.int64)
@@ -301,8 +329,8 @@ def _open(members: DataFrame, links: DataFrame) -> DataFrame:
     return named.join(several.where("least < most").select("bucket"), "bucket", "left_semi")
 
 
-def _proposed(members: DataFrame, best_only: bool) -> DataFrame:
-    pairs = _chunked(members).groupBy("bucket", "low", "high")
+def _proposed(members: DataFrame, about: DataFrame, best_only: bool) -> DataFrame:
+    pairs = _chunked(members).join(about, "node").groupBy("bucket", "low", "high")
     return pairs.applyInArrow(lambda rows: _compare(rows, best_only), "a long, b long").distinct()
 
 
@@ -324,7 +352,8 @@ def links(documents: DataFrame, nodes: DataFrame) -> DataFrame:
     sets = _sets(documents, nodes, wanted)
     found = stored(_confirmed(tested, sets), "links")
 
-    members = stored(members.join(nodes.select("node", "n", "sketch"), "node"), "large-members")
+    about = sets.select("node", "wide").join(members.select("node").distinct(), "node")
+    about = stored(about.join(nodes.select("node", "n", "sketch"), "node"), "about")
     best_only = True
     while True:
         left = stored(_open(members, found), "open")
@@ -332,7 +361,7 @@ def links(documents: DataFrame, nodes: DataFrame) -> DataFrame:
             return found
         # A member of a bucket that is open no more has met all others there.
         members = left.drop("class")
-        fresh = stored(_proposed(left, best_only).join(tested, ["a", "b"], "left_anti"), "pairs")
+        fresh = stored(_proposed(left, about, best_only).join(tested, ["a", "b"], "left_anti"), "pairs")
         more = stored(_confirmed(fresh, sets), "links")
         tested, found = tested.union(fresh), found.union(more)
         if not best_only:

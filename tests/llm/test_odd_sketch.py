@@ -145,3 +145,19 @@ def test_pairs_at_the_limit_share_a_band():
         sets = [np.unique(drawn[:99]), np.unique(drawn[11:])]
         both = odd_sketch.bands(odd_sketch.samples(sets))
         assert (both[0] == both[1]).any()
+
+
+def test_the_wide_sketch_never_drops_a_link():
+    """Differing bits are at most the differing shingles, and tell most pairs below the limit."""
+    rng = np.random.default_rng(9)
+    dropped = 0
+    for common in (360, 356, 330, 300) * 50:
+        drawn = rng.integers(0, 1 << 63, 800 - common, dtype=np.uint64)
+        one, other = np.unique(drawn[:400]), np.unique(drawn[400 - common :])
+        bits = [np.frombuffer(odd_sketch.wide_sketch(s), dtype=np.uint64) for s in (one, other)]
+        apart = int(np.bitwise_count(bits[0] ^ bits[1]).sum())
+        assert apart <= 800 - 2 * common
+        may = odd_sketch.can_link(np.array([apart]), np.array([800]))[0]
+        assert may or 100 * common < 80 * (800 - common)
+        dropped += not may
+    assert dropped >= 95
