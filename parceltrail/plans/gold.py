@@ -70,11 +70,11 @@ def dim_products(products: DataFrame) -> DataFrame:
 
 
 def dim_date(
-    fact: DataFrame, ts: str = "purchase_timestamp", align_to_midnight: bool = False
+    fact: DataFrame, ts: str = "purchase_timestamp", align_to_midnight: bool = False, last: str | None = None
 ) -> DataFrame:
     """Calendar from the first to the last purchase in 24-hour steps (see ``daily_series``)."""
     day = F.col("full_date")
-    return daily_series(fact, ts, "full_date", align_to_midnight).select(
+    return daily_series(fact, ts, "full_date", align_to_midnight, last).select(
         cal.date_id(day).alias("date_id"),
         day,
         F.year(day).alias("year"),
@@ -94,17 +94,15 @@ def wide_fact(
     dim_sellers: DataFrame,
     dim_date: DataFrame,
     count_on: DataFrame | None = None,
-    count_days_on: DataFrame | None = None,
 ) -> DataFrame:
     """The fact with the attributes of all its dimensions; NULL where a dimension row is missing.
 
     The fact has no day key; it is derived from the time of purchase. Hot products and sellers are counted on
-    ``count_on`` and hot days on ``count_days_on`` (``date_id``), which should be raw or stored tables; without
-    them, on the fact.
+    ``count_on``, which should be a raw or stored table; without it, on the fact. The calendar is left to Catalyst and
+    adaptive execution: nothing before is partitioned by day, so hot days are split at run time if it is not broadcast.
     """
     raw = fact if count_on is None else count_on
     with_products = lookup_join(fact, dim_products, "product_id", "left", raw)
     with_sellers = lookup_join(with_products, dim_sellers, "seller_id", "left", raw)
     day = cal.date_id(F.col("purchase_timestamp")).alias("date_id")
-    days = fact.select(day) if count_days_on is None else count_days_on
-    return lookup_join(with_sellers.select("*", day), dim_date, "date_id", "left", count_on=days)
+    return with_sellers.select("*", day).join(dim_date, "date_id", "left")

@@ -219,17 +219,21 @@ def top_categories_by_delay(
     return top_by_count(delays, "avg_late_days", "product_category", k)
 
 
-def late_by_calendar(fact: DataFrame, dim_date: DataFrame, *attributes: str) -> DataFrame:
-    """Late orders by attributes of the purchase day.
-
-    Orders are counted per day before the join, so it only sees one row per day.
-    """
+def late_by_day(fact: DataFrame) -> DataFrame:
+    """Orders and late ones of each day of purchase, with its first and last time of purchase."""
     orders = fact.groupBy("order_id").agg(
         F.max("is_late").alias("is_late"), F.max("purchase_timestamp").alias("purchase_timestamp")
     )
-    days = orders.groupBy(date_id(F.col("purchase_timestamp")).alias("date_id")).agg(
-        _n_orders(), _n_late()
+    return orders.groupBy(date_id(F.col("purchase_timestamp")).alias("date_id")).agg(
+        F.min("purchase_timestamp").alias("first_purchase"),
+        F.max("purchase_timestamp").alias("last_purchase"),
+        _n_orders(),
+        _n_late(),
     )
+
+
+def days_by_calendar(days: DataFrame, dim_date: DataFrame, *attributes: str) -> DataFrame:
+    """``late_by_day`` summed up by attributes of the calendar."""
     counted = (
         days.join(dim_date.select("date_id", *attributes), "date_id", "left")
         .groupBy(*attributes)
@@ -238,6 +242,14 @@ def late_by_calendar(fact: DataFrame, dim_date: DataFrame, *attributes: str) ->
     return counted.select("*", _pct("n_late", "n_orders", "pct_late"))
 
 
+def late_by_calendar(fact: DataFrame, dim_date: DataFrame, *attributes: str) -> DataFrame:
+    """Late orders by attributes of the purchase day.
+
+    Orders are counted per day before the join, so it only sees one row per day.
+    """
+    return days_by_calendar(late_by_day(fact), dim_date, *attributes)
+
+
 def late_by_size(
     fact: DataFrame,
     dim_products: DataFrame,
