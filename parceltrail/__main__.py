@@ -29,6 +29,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument(
         "--shuffle-partitions", type=int, help="by default one for each 128 MB of input, 200 at least"
     )
+    parser.add_argument("--keep", type=int, help="states of a loaded layer whose files stay; by default all do")
     args = parser.parse_args(argv)
     if args.layer in ("bronze", "all") and not args.data:
         parser.error("--data is needed to load the raw layer")
@@ -45,6 +46,9 @@ def main(argv: list[str] | None = None) -> None:
         layers.build_silver(store)
     if args.layer in ("gold", "all"):
         layers.build_gold(store)
+    if args.keep is not None:
+        for layer in ("bronze", "silver", "gold") if args.layer == "all" else (args.layer,):
+            store.clean(layer, args.keep)
 
 
 if __name__ == "__main__":

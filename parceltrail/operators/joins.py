@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +18,25 @@ HOT_FACTOR = 4
 COPIES = 65_536
 
 
+@dataclass(frozen=True)
+class HotKeys:
+    """Frequent values of a table's columns and their rows, as found when the table was written.
+
+    Joins take it in place of a table to count on, so that building them runs no job. Counts may be a little low
+    and rows may be gone since; the parts of a key follow from them, the result of a join does not.
+    """
+
+    rows: int
+    frequent: Mapping[str, Sequence[tuple]]
+
+    def parts(self, key: str, rows_per_part: int) -> list[tuple]:
+        """(key, parts), as ``hot_keys`` finds them by counting."""
+        if key not in self.frequent:
+            raise LookupError(f"frequent values of {key} are not known")
+        limit = max(rows_per_part, -(-self.rows * HOT_FACTOR // BUCKETS))
+        return sorted((k, -(-n // limit)) for k, n in self.frequent[key] if n > limit)
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """True if Catalyst's size estimate is within the session's broadcast threshold."""
     threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
@@ -75,7 +97,7 @@ def split_join(
     lookup: DataFrame,
     key: str,
     how: str = "inner",
-    count_on: DataFrame | None = None,
+    count_on: DataFrame | HotKeys | None = None,
     rows_per_part: int = ROWS_PER_PART,
 ) -> DataFrame:
     """Shuffle join in which hot keys of ``large`` are spread over several tasks.
@@ -85,13 +107,17 @@ def split_join(
     the row's position, so that a recomputed task sends its rows to the same place again; rows of a hot key that are
     equal in every column are numbered first, so they are divided too.
 
-    ``count_on`` names a raw or stored table with the same keys (or more rows per key) to count on.
+    ``count_on`` names a raw or stored table with the same keys (or more rows per key) to count on, or holds the hot keys
+    that were found when the table was written.
     """
     if how not in ("inner", "left"):
         # Repeated lookup rows without a match would show up once per part.
         raise ValueError(f"split_join does not support {how!r}")
     columns = large.columns
-    hot = hot_keys(count_on if count_on is not None else large, key, rows_per_part)
+    if isinstance(count_on, HotKeys):
+        hot = count_on.parts(key, rows_per_part)
+    else:
+        hot = hot_keys(count_on if count_on is not None else large, key, rows_per_part)
     content = F.xxhash64(*columns)
     # NULL keys match nothing; spread them as well.
     cold_part = F.when(F.col(key).isNull(), F.pmod(content, F.lit(BUCKETS))).otherwise(0).cast("int")
@@ -117,7 +143,7 @@ def lookup_join(
     lookup: DataFrame,
     key: str,
     how: str = "inner",
-    count_on: DataFrame | None = None,
+    count_on: DataFrame | HotKeys | None = None,
 ) -> DataFrame:
     """Join ``lookup`` (one row per key) to ``large``.
 

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from parceltrail.functions import calendar as cal
 from parceltrail.functions.delivery import DELIVERED, region_of
-from parceltrail.operators.joins import lookup_join
+from parceltrail.operators.joins import HotKeys, lookup_join
 from parceltrail.operators.series import daily_series
 
 
 def delivered_items(
-    items: DataFrame, orders: DataFrame, count_on: DataFrame | None = None
+    items: DataFrame, orders: DataFrame, count_on: DataFrame | HotKeys | None = None
 ) -> DataFrame:
     """Items of delivered orders with the delivery outcome of their order.
 
@@ -40,7 +40,7 @@ def delivered_items(
 
 
 def orders_fact(
-    items: DataFrame, orders: DataFrame, count_on: DataFrame | None = None
+    items: DataFrame, orders: DataFrame, count_on: DataFrame | HotKeys | None = None
 ) -> DataFrame:
     """One row per item of a delivered order, without the item's number."""
     return delivered_items(items, orders, count_on).drop("order_item_id")
@@ -93,7 +93,7 @@ def wide_fact(
     dim_products: DataFrame,
     dim_sellers: DataFrame,
     dim_date: DataFrame,
-    count_on: DataFrame | None = None,
+    count_on: DataFrame | HotKeys | None = None,
 ) -> DataFrame:
     """The fact with the attributes of all its dimensions; NULL where a dimension row is missing.
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parceltrail.functions.calendar import date_id
-from parceltrail.operators.joins import fits_broadcast, split_join
+from parceltrail.operators.joins import HotKeys, fits_broadcast, split_join
 from parceltrail.operators.ranking import rank_by_count, top_by_count
 
 # Order-level measures, each with an aggregate that may be applied again to its own result.
@@ -50,7 +50,7 @@ def _attach(
     dim: DataFrame,
     key: str,
     attributes: Sequence[str],
-    count_on: DataFrame | None,
+    count_on: DataFrame | HotKeys | None,
     measures: Mapping[str, Callable[[str], Column]] = _OUTCOME,
 ) -> DataFrame:
     """Left join of dimension attributes; facts without a dimension row get NULL.
@@ -71,7 +71,7 @@ def _orders_by(
     attribute: str,
     dim: DataFrame | None = None,
     key: str | None = None,
-    count_on: DataFrame | None = None,
+    count_on: DataFrame | HotKeys | None = None,
 ) -> DataFrame:
     """(attribute, order) rows with the order's outcome."""
     lines = fact.select(key or attribute, "order_id", "is_late", "delay_days")
@@ -102,7 +102,7 @@ def late_share_of_all_orders(orders: DataFrame) -> DataFrame:
 
 
 def late_by_category(
-    fact: DataFrame, dim_products: DataFrame, count_on: DataFrame | None = None
+    fact: DataFrame, dim_products: DataFrame, count_on: DataFrame | HotKeys | None = None
 ) -> DataFrame:
     return _late_share(
         _orders_by(fact, "product_category", dim_products, "product_id", count_on), "product_category"
@@ -110,7 +110,7 @@ def late_by_category(
 
 
 def late_by_region(
-    fact: DataFrame, dim_sellers: DataFrame, count_on: DataFrame | None = None
+    fact: DataFrame, dim_sellers: DataFrame, count_on: DataFrame | HotKeys | None = None
 ) -> DataFrame:
     return _late_share(_orders_by(fact, "region", dim_sellers, "seller_id", count_on), "region")
 
@@ -123,7 +123,7 @@ def late_by_all(
     fact: DataFrame,
     dim_products: DataFrame,
     dim_sellers: DataFrame,
-    count_on: DataFrame | None = None,
+    count_on: DataFrame | HotKeys | None = None,
 ) -> DataFrame:
     """Category, region and seller breakdowns in one pass over the fact.
 
@@ -168,7 +168,7 @@ def average_delay_by_seller(fact: DataFrame) -> DataFrame:
 
 
 def average_delay_by_category(
-    fact: DataFrame, dim_products: DataFrame, count_on: DataFrame | None = None
+    fact: DataFrame, dim_products: DataFrame, count_on: DataFrame | HotKeys | None = None
 ) -> DataFrame:
     return _average_delay(
         _orders_by(fact, "product_category", dim_products, "product_id", count_on), "product_category"
@@ -176,7 +176,7 @@ def average_delay_by_category(
 
 
 def average_delay_by_region(
-    fact: DataFrame, dim_sellers: DataFrame, count_on: DataFrame | None = None
+    fact: DataFrame, dim_sellers: DataFrame, count_on: DataFrame | HotKeys | None = None
 ) -> DataFrame:
     return _average_delay(_orders_by(fact, "region", dim_sellers, "seller_id", count_on), "region")
 
@@ -192,7 +192,7 @@ def top_offenders(fact: DataFrame, k: int = 10) -> DataFrame:
 
 
 def top_categories(
-    fact: DataFrame, dim_products: DataFrame, count_on: DataFrame | None = None, k: int = 10
+    fact: DataFrame, dim_products: DataFrame, count_on: DataFrame | HotKeys | None = None, k: int = 10
 ) -> DataFrame:
     """The k categories with most late orders."""
     late = late_by_category(fact, dim_products, count_on)
@@ -200,7 +200,7 @@ def top_categories(
 
 
 def top_regions(
-    fact: DataFrame, dim_sellers: DataFrame, count_on: DataFrame | None = None, k: int = 10
+    fact: DataFrame, dim_sellers: DataFrame, count_on: DataFrame | HotKeys | None = None, k: int = 10
 ) -> DataFrame:
     """The k regions with most late orders."""
     return top_by_count(late_by_region(fact, dim_sellers, count_on), "n_late", "region", k)
@@ -212,7 +212,7 @@ def top_sellers_by_delay(fact: DataFrame, k: int = 10) -> DataFrame:
 
 
 def top_categories_by_delay(
-    fact: DataFrame, dim_products: DataFrame, count_on: DataFrame | None = None, k: int = 10
+    fact: DataFrame, dim_products: DataFrame, count_on: DataFrame | HotKeys | None = None, k: int = 10
 ) -> DataFrame:
     """The k categories whose late orders are late by most days on average."""
     delays = average_delay_by_category(fact, dim_products, count_on)
@@ -255,7 +255,7 @@ def late_by_size(
     dim_products: DataFrame,
     measure: str,
     bounds: Sequence[int],
-    count_on: DataFrame | None = None,
+    count_on: DataFrame | HotKeys | None = None,
 ) -> DataFrame:
     """Late orders and freight by band of a product measure; band 0 lies below the first bound."""
     band = F.when(F.col(measure) < bounds[0], 0)

@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from parceltrail.plans import bronze, gold, silver
@@ -21,23 +19,11 @@ SILVER = {
     "sellers": ("bronze_sellers", silver.sellers),
 }
 
-
-def _replace_all(
-    store: LayerStore, layer: str, tables: Mapping[str, Callable[[], DataFrame]]
-) -> None:
-    """Replace independent tables of a layer at the same time.
-
-    A small table then runs in the idle cores at the end of a large one.
-    """
-    store.create_layer(layer)
-
-    def load(table: str) -> None:
-        store.replace(layer, table, tables[table]())
-
-    with ThreadPoolExecutor(len(tables)) as pool:
-        target = inheritable_thread_target(store.spark)(load)
-        for done in [pool.submit(target, table) for table in tables]:
-            done.result()
+# Columns by which tables are joined; their hot values are found while the tables are written.
+JOIN_COLUMNS = {
+    "orders_items": ("order_id",),
+    "orders_fact": ("order_id", "product_id", "seller_id"),
+}
 
 
 def load_bronze(
@@ -53,33 +39,40 @@ def load_bronze(
         path = f"{data_path.rstrip('/')}/{pattern}"
         return lambda: bronze.load_csv(store.spark, path, run_ts, **csv_options)
 
-    _replace_all(store, "bronze", {table: reader(p) for table, p in sources.items()})
+    with store.load("bronze") as load:
+        load.write_all({table: reader(p) for table, p in sources.items()})
 
 
 def build_silver(store: LayerStore, run_ts: datetime | None = None) -> None:
     require_ansi(store.spark)
 
+    bronze_tables = store.snapshot("bronze")
+
     def builder(raw: str, build: Callable) -> Callable[[], DataFrame]:
-        return lambda: build(store.read("bronze", raw), run_ts)
+        return lambda: build(bronze_tables.read(raw), run_ts)
 
-    _replace_all(store, "silver", {table: builder(*parts) for table, parts in SILVER.items()})
+    with store.load("silver") as load:
+        load.write_all({table: builder(*parts) for table, parts in SILVER.items()}, JOIN_COLUMNS)
 
 
 def build_gold(store: LayerStore) -> None:
-    def fact() -> DataFrame:
-        return gold.orders_fact(store.read("silver", "orders_items"), store.read("silver", "orders"))
+    clean = store.snapshot("silver")
 
-    _replace_all(
-        store,
-        "gold",
-        {
-            "orders_fact": fact,
-            "dim_sellers": lambda: gold.dim_sellers(store.read("silver", "sellers")),
-            "dim_products": lambda: gold.dim_products(store.read("silver", "products")),
-        },
-    )
-    # The calendar spans the purchases of the stored fact.
-    store.replace("gold", "dim_date", gold.dim_date(store.read("gold", "orders_fact")))
+    def fact() -> DataFrame:
+        items, orders = clean.read("orders_items"), clean.read("orders")
+        return gold.orders_fact(items, orders, clean.hot_keys("orders_items"))
+
+    with store.load("gold") as load:
+        load.write_all(
+            {
+                "orders_fact": fact,
+                "dim_sellers": lambda: gold.dim_sellers(clean.read("sellers")),
+                "dim_products": lambda: gold.dim_products(clean.read("products")),
+            },
+            JOIN_COLUMNS,
+        )
+        # The calendar spans the purchases of the stored fact.
+        load.write("dim_date", gold.dim_date(load.read("orders_fact")))
 
 
 def run(
@@ -89,20 +82,32 @@ def run(
     sources: Mapping[str, str] = bronze.SOURCES,
     prefix: str = "",
     run_ts: datetime | None = None,
+    keep: int | None = None,
     **csv_options: bool | None,
 ) -> LayerStore:
-    """Raw, clean, star schema, in that order; each layer reads the stored tables of the one before.
+    """Raw, clean, star schema, in that order; each layer reads one state of the one before and is replaced as a whole.
 
-    Running again replaces every table, so a repeated run gives the same tables.
+    Running again replaces every table, so a repeated run gives the same tables. ``keep``: states of each layer whose
+    loads stay; without it, none is removed.
     """
     store = LayerStore(spark, warehouse, prefix)
     load_bronze(store, data_path, sources, run_ts, **csv_options)
     build_silver(store, run_ts)
     build_gold(store)
+    if keep is not None:
+        for layer in ("bronze", "silver", "gold"):
+            store.clean(layer, keep)
     return store
 
 
 def star(store: LayerStore) -> dict[str, DataFrame]:
-    """The stored fact and dimensions by table name."""
-    tables = ("orders_fact", "dim_sellers", "dim_products", "dim_date")
-    return {table: store.read("gold", table) for table in tables}
+    """The stored fact and dimensions by table name, all of one state of the layer."""
+    tables = store.snapshot("gold")
+    return {table: tables.read(table) for table in ("orders_fact", "dim_sellers", "dim_products", "dim_date")}
+
+
+def wide_star(store: LayerStore) -> DataFrame:
+    """The stored fact with the attributes of its dimensions; building it runs no job."""
+    tables = store.snapshot("gold")
+    dims = (tables.read(t) for t in ("dim_products", "dim_sellers", "dim_date"))
+    return gold.wide_fact(tables.read("orders_fact"), *dims, count_on=tables.hot_keys("orders_fact"))
