@@ -13,9 +13,9 @@ first: the bits in which two of them differ are never more than the shingles in
 only pairs that can't be linked, and nearly all of these.
 
 The pairs of a bucket are never all listed. First each member is paired with the bucket's least one (the only pair of most
-buckets). What these confirmed links connect needs no more pairs. In buckets that still hold several classes each member
-proposes its best partner of another class, until no proposal is confirmed, and then the remaining pairs of different
-classes that both sketches allow are listed. These steps compare sketches within chunks of a bucket, so that a
+buckets). What these confirmed links connect needs no more pairs. Buckets that still hold several classes propose a spanning
+forest of them: as few pairs as connect all classes that both sketches allow to be connected, the most similar first. If
+one of these pairs is not confirmed, the remaining pairs of different classes that both sketches allow are listed. These steps compare sketches within chunks of a bucket, so that a
 bucket of any size is many tasks; chunks of one and the same class never meet.
 
 Defined cases: a missing or empty text, or one of blanks only, has an empty set, is linked with nothing and kept; a text of one
@@ -37,8 +37,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from parceltrail.llm.common import stored, text_bytes
+from parceltrail.llm.common import count_rows, stored, text_bytes
 from parceltrail.llm.components import components
+from parceltrail.llm.simhash import Union
 
 #: Links have LEAST percent of the union in common; pairs whose estimate is below CHECKED can't have.
 LEAST, CHECKED = 80, 0.55
@@ -283,7 +284,26 @@ def _chunked(members: DataFrame) -> DataFrame:
     )
 
 
-def _compare(rows: pa.Table, best_only: bool) -> pa.Table:
+def _forest(x: np.ndarray, y: np.ndarray, near: np.ndarray, cls: np.ndarray) -> np.ndarray:
+    """Places of the pairs (x, y) of a spanning forest of the classes, the most similar first (Boruvka's algorithm)."""
+    names, number = np.unique(cls, return_inverse=True)
+    union, chosen, live = Union(len(names)), [], np.arange(len(x))
+    while True:
+        one, other = union.root[number[x[live]]], union.root[number[y[live]]]
+        apart = one != other
+        live = live[apart]
+        if not len(live):
+            return np.concatenate(chosen) if chosen else live
+        ends, pair = np.concatenate([one[apart], other[apart]]), np.concatenate([live, live])
+        order = np.lexsort((pair, -near[pair], ends))
+        first = np.ones(len(order), dtype=bool)
+        first[1:] = ends[order][1:] != ends[order][:-1]
+        best = np.unique(pair[order][first])
+        chosen.append(best)
+        union.link(number[x[best]], number[y[best]])
+
+
+def _compare(rows: pa.Table, forest: bool) -> pa.Table:
     """Pairs of a pair of chunks that a link may join: of different classes, and allowed by both sketches."""
     node, cls, n, chunk = (rows.column(c).to_numpy() for c in ("node", "class", "n", "chunk"))
     sketch, wide = (
@@ -292,32 +312,25 @@ def _compare(rows: pa.Table, best_only: bool) -> pa.Table:
     )
     low, high = rows.column("low")[0].as_py(), rows.column("high")[0].as_py()
     left, right = np.flatnonzero(chunk == low), np.flatnonzero(chunk == high)
-    found = []
+    found = [(left[:0], left[:0], np.zeros(0))]
     for at in range(0, len(left), ROWS):
         i = left[at : at + ROWS]
-        differing = np.zeros((len(i), len(right)), dtype=np.int64)
-        for w in range(BITS // 64):
-            differing += np.bitwise_count(sketch[i, None, w] ^ sketch[None, right, w])
-        near = similarity(differing)
-        sized = np.minimum(n[i, None], n[None, right]) * 100 >= np.maximum(n[i, None], n[None, right]) * LEAST
-        near[(cls[i, None] == cls[None, right]) | ~sized] = 0
-        if low == high and not best_only:
-            near[i[:, None] >= right[None, :]] = 0
-        x, y = np.nonzero(near >= CHECKED)
-        apart = np.bitwise_count(wide[i[x]] ^ wide[right[y]]).sum(axis=1, dtype=np.int64)
-        keep = can_link(apart, n[i[x]] + n[right[y]])
-        x, y = x[keep], y[keep]
-        if best_only:
-            # The first of each row after sorting by row and estimate.
-            order = np.lexsort((-near[x, y], x))
-            x, y = x[order], y[order]
-            first = np.ones(len(x), dtype=bool)
-            first[1:] = x[1:] != x[:-1]
-            x, y = x[first], y[first]
-        found.append((node[i[x]], node[right[y]]))
-    one = np.concatenate([f[0] for f in found]) if found else np.empty(0, dtype=np.int64)
-    other = np.concatenate([f[1] for f in found]) if found else np.empty(0, dtype=np.int64)
-    return pa.table({"a": np.minimum(one, other), "b": np.maximum(one, other)})
+        other = right[right > i[0]] if low == high else right
+        # Classes and sizes leave few pairs; only these have their bits compared.
+        least, most = np.minimum(n[i, None], n[None, other]), np.maximum(n[i, None], n[None, other])
+        x, y = np.nonzero((cls[i, None] != cls[None, other]) & (least * 100 >= most * LEAST))
+        x, y = i[x], other[y]
+        if low == high:
+            x, y = x[x < y], y[x < y]
+        near = similarity(np.bitwise_count(sketch[x] ^ sketch[y]).sum(axis=1, dtype=np.int64))
+        x, y, near = (a[near >= CHECKED] for a in (x, y, near))
+        allowed = can_link(np.bitwise_count(wide[x] ^ wide[y]).sum(axis=1, dtype=np.int64), n[x] + n[y])
+        found.append((x[allowed], y[allowed], near[allowed]))
+    x, y, near = (np.concatenate(part) for part in zip(*found))
+    if forest:
+        kept = _forest(x, y, near, cls)
+        x, y = x[kept], y[kept]
+    return pa.table({"a": np.minimum(node[x], node[y]), "b": np.maximum(node[x], node[y])})
 
 
 def _open(members: DataFrame, links: DataFrame) -> DataFrame:
@@ -329,9 +342,9 @@ def _open(members: DataFrame, links: DataFrame) -> DataFrame:
     return named.join(several.where("least < most").select("bucket"), "bucket", "left_semi")
 
 
-def _proposed(members: DataFrame, about: DataFrame, best_only: bool) -> DataFrame:
+def _proposed(members: DataFrame, about: DataFrame, forest: bool) -> DataFrame:
     pairs = _chunked(members).join(about, "node").groupBy("bucket", "low", "high")
-    return pairs.applyInArrow(lambda rows: _compare(rows, best_only), "a long, b long").distinct()
+    return pairs.applyInArrow(lambda rows: _compare(rows, forest), "a long, b long").distinct()
 
 
 def links(documents: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -354,19 +367,20 @@ def links(documents: DataFrame, nodes: DataFrame) -> DataFrame:
 
     about = sets.select("node", "wide").join(members.select("node").distinct(), "node")
     about = stored(about.join(nodes.select("node", "n", "sketch"), "node"), "about")
-    best_only = True
-    while True:
+    for forest in (True, False):
         left = stored(_open(members, found), "open")
         if not left.take(1):
-            return found
+            break
         # A member of a bucket that is open no more has met all others there.
         members = left.drop("class")
-        fresh = stored(_proposed(left, about, best_only).join(tested, ["a", "b"], "left_anti"), "pairs")
+        proposed = stored(_proposed(left, about, forest), "pairs")
+        fresh = proposed.join(tested, ["a", "b"], "left_anti")
         more = stored(_confirmed(fresh, sets), "links")
-        tested, found = tested.union(fresh), found.union(more)
-        if not best_only:
-            return found
-        best_only = bool(more.take(1))
+        tested, found = tested.union(proposed), found.union(more)
+        # If all pairs of the forests are links, each allowed pair is within a class now.
+        if count_rows(more) == count_rows(proposed):
+            break
+    return found
 
 
 def classes(documents: DataFrame) -> DataFrame:
