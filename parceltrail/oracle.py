@@ -220,6 +220,43 @@ def _by_size(measure: str, low: int, high: int) -> str:
     )
 
 
+def _by_quartile(measure: str, source: str) -> str:
+    return _on_lines(
+        f"""SELECT band, min(least) AS least, max(greatest) AS greatest, {_SHARE}, CAST(sum(n) AS BIGINT) AS n_items,
+       CAST(sum(freight) AS DECIMAL(38,2)) AS freight FROM o GROUP BY band""",
+        limits=f"""
+        SELECT value, CAST((sum(n) OVER (ORDER BY value) - n) * 4 // sum(n) OVER () AS INTEGER) AS band
+        FROM (SELECT {measure} AS value, count(*) AS n FROM {source} WHERE {measure} IS NOT NULL GROUP BY 1)""",
+        o=f"""
+        SELECT band, order_id, min({measure}) AS least, max({measure}) AS greatest,
+               bool_or(is_late) AS is_late, count(*) AS n, sum(freight_value) AS freight
+        FROM lines LEFT JOIN limits ON {measure} = value GROUP BY 1, 2""",
+    )
+
+
+_TREND = _on_lines(
+    """SELECT measure, CAST(n AS BIGINT) AS n_items,
+       round((n * sxy - sx * sy) / nullif(n * sxx - sx * sx, 0), 9) AS days_per_unit,
+       round((n * sxy - sx * sy) / nullif(sqrt(n * sxx - sx * sx) * sqrt(n * syy - sy * sy), 0), 9) AS corr_delay,
+       round((n * sxl - sx * sl) / nullif(sqrt(n * sxx - sx * sx) * sqrt(n * sl - sl * sl), 0), 9) AS corr_late
+FROM sums""",
+    points="""
+        SELECT measure, CAST(x AS DECIMAL(14,2)) AS x, CAST(delay_days AS DECIMAL(7,0)) AS y,
+               CAST(is_late AS DECIMAL(1,0)) AS late
+        FROM (SELECT delay_days, CAST(is_late AS INTEGER) AS is_late,
+                     unnest(['product_volume_cm3', 'weight_g', 'freight_value']) AS measure,
+                     unnest([CAST(product_volume_cm3 AS DECIMAL(14,2)), CAST(weight_g AS DECIMAL(14,2)),
+                             CAST(freight_value AS DECIMAL(14,2))]) AS x
+              FROM lines WHERE delay_days IS NOT NULL)
+        WHERE x IS NOT NULL""",
+    sums="""
+        SELECT measure, CAST(count(*) AS DOUBLE) AS n, CAST(sum(x) AS DOUBLE) AS sx, CAST(sum(y) AS DOUBLE) AS sy,
+               CAST(sum(late) AS DOUBLE) AS sl, CAST(sum(x * x) AS DOUBLE) AS sxx, CAST(sum(x * y) AS DOUBLE) AS sxy,
+               CAST(sum(x * late) AS DOUBLE) AS sxl, CAST(sum(y * y) AS DOUBLE) AS syy
+        FROM points GROUP BY measure""",
+)
+
+
 # --- nested records ---------------------------------------------------------------------------
 
 _PEOPLE = """
@@ -230,6 +267,8 @@ _PEOPLE = """
 _NA = """('', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND',
        '1.#QNAN', '<NA>', 'N/A', 'NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null')"""
 
+_RUN_TS = "TIMESTAMP '2024-01-15 12:30:00'"
+
 ORACLE = {
     "dedup_latest_item": """
         SELECT CAST(l_orderkey AS VARCHAR) AS order_id,
@@ -242,10 +281,10 @@ ORACLE = {
                                    ORDER BY ts DESC NULLS FIRST, event_id DESC) = 1""",
     "dedup_any_product": "SELECT p_partkey, p_name, p_type FROM part",
     "dedup_any_seller": "SELECT s_suppkey, s_name, s_nationkey FROM supplier",
-    "silver_orders": _sql("SELECT * FROM silver_orders", "silver_orders"),
-    "silver_items": _sql("SELECT * FROM silver_items", "silver_items"),
-    "silver_products": _sql("SELECT * FROM silver_products", "silver_products"),
-    "silver_sellers": _sql("SELECT * FROM silver_sellers", "silver_sellers"),
+    "silver_orders": _sql(f"SELECT *, {_RUN_TS} AS updated_at FROM silver_orders", "silver_orders"),
+    "silver_items": _sql(f"SELECT *, {_RUN_TS} AS updated_at FROM silver_items", "silver_items"),
+    "silver_products": _sql(f"SELECT *, {_RUN_TS} AS updated_at FROM silver_products", "silver_products"),
+    "silver_sellers": _sql(f"SELECT *, {_RUN_TS} AS updated_at FROM silver_sellers", "silver_sellers"),
     "delay_fractional": """
         SELECT event_id,
                CAST(extract('day' FROM ts - TIMESTAMP '2024-01-15 12:00:00') AS INTEGER)
@@ -265,7 +304,7 @@ ORACLE = {
     "csv_roundtrip": """
         SELECT o_orderkey, o_orderdate,
                CASE WHEN o_orderkey % 7 <> 0 THEN o_orderpriority END AS o_orderpriority,
-               TRUE AS has_date, TRUE AS has_file
+               TIMESTAMP '2024-01-15 12:30:00' AS ingestion_date, TRUE AS has_file
         FROM orders""",
     "csv_quoted_text": f"""
         SELECT doc_id, CASE WHEN text NOT IN {_NA} THEN text END AS text FROM documents""",
@@ -327,6 +366,10 @@ FROM lines GROUP BY GROUPING SETS ((product_category), (region), (seller_id))"""
     "kpi_late_by_weekday": _by_calendar("day_of_week", "day_name"),
     "kpi_delay_by_volume": _by_size("product_volume_cm3", 1_000, 27_000),
     "kpi_delay_by_weight": _by_size("weight_g", 930, 965),
+    "kpi_late_by_volume_quartile": _by_quartile("product_volume_cm3", "dim_products"),
+    "kpi_late_by_weight_quartile": _by_quartile("weight_g", "dim_products"),
+    "kpi_late_by_freight_quartile": _by_quartile("freight_value", "fact"),
+    "kpi_delay_trend": _TREND,
     "json_field": """
         SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events""",
     "json_records_inline": f"""

@@ -7,8 +7,15 @@ from pyspark.sql import functions as F
 
 from parceltrail.functions import calendar as cal
 from parceltrail.functions.delivery import DELIVERED, region_of
-from parceltrail.operators.joins import HotKeys, lookup_join
+from parceltrail.operators.joins import HotKeys, fits_broadcast, lookup_join
 from parceltrail.operators.series import daily_series
+from parceltrail.plans import silver
+
+_OUTCOME = ("purchase_timestamp", "delay_days", "is_late")
+
+
+def _delivered(orders: DataFrame) -> DataFrame:
+    return orders.where(F.col("order_status") == DELIVERED).select("order_id", *_OUTCOME)
 
 
 def delivered_items(
@@ -19,13 +26,15 @@ def delivered_items(
     ``count_on`` may name the raw items, on which hot orders are cheaper to count than on
     ``items`` when the latter are not stored yet.
     """
-    delivered = orders.where(F.col("order_status") == DELIVERED).select(
-        "order_id", "purchase_timestamp", "delay_days", "is_late"
-    )
+    delivered = _delivered(orders)
     wanted = items.select(
         "order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"
     )
-    return lookup_join(wanted, delivered, "order_id", "inner", count_on).select(
+    return _with_total(lookup_join(wanted, delivered, "order_id", "inner", count_on))
+
+
+def _with_total(items: DataFrame) -> DataFrame:
+    return items.select(
         "order_id",
         "order_item_id",
         "product_id",
@@ -46,6 +55,20 @@ def orders_fact(
     return delivered_items(items, orders, count_on).drop("order_item_id")
 
 
+def fact_of_raw(raw_items: DataFrame, orders: DataFrame) -> DataFrame:
+    """The fact straight from the raw items.
+
+    If Catalyst broadcasts the delivered orders, the items meet them before they are deduplicated: a key holds its
+    order, so an order's outcome is the same for all rows of a key, and no item of an undelivered order is shuffled. Beyond
+    that the join would be a shuffle of its own, which the deduplication would have to follow with another.
+    """
+    delivered = _delivered(orders)
+    if not fits_broadcast(delivered):
+        return orders_fact(silver.orders_items(raw_items), orders, count_on=raw_items)
+    met = raw_items.join(delivered, "order_id")
+    return _with_total(silver.orders_items(met, carried=_OUTCOME)).drop("order_item_id")
+
+
 def purchases(raw_items: DataFrame, orders: DataFrame) -> DataFrame:
     """Times of purchase of the delivered orders that have items: those of the fact.
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from parceltrail.functions.calendar import date_id
 from parceltrail.operators.joins import HotKeys, fits_broadcast, split_join
+from parceltrail.operators.quantiles import quantile_bands, with_band
 from parceltrail.operators.ranking import rank_by_count, top_by_count
 
 # Order-level measures, each with an aggregate that may be applied again to its own result.
@@ -250,6 +251,34 @@ def late_by_calendar(fact: DataFrame, dim_date: DataFrame, *attributes: str) ->
     return days_by_calendar(late_by_day(fact), dim_date, *attributes)
 
 
+_BAND_MEASURES = {"is_late": F.max, "n_items": F.sum, "freight": F.sum}
+
+
+def _by_band(lines: DataFrame) -> DataFrame:
+    """Orders, late ones, items and freight of each band, from lines with these; bounds too if the lines have them."""
+    extra = {c: f for c, f in (("least", F.min), ("greatest", F.max)) if c in lines.columns}
+    orders = lines.groupBy("band", "order_id").agg(*_fold(_BAND_MEASURES | extra))
+    counted = orders.groupBy("band").agg(
+        *[f(c).alias(c) for c, f in extra.items()],
+        _n_orders(),
+        _n_late(),
+        F.sum("n_items").alias("n_items"),
+        F.sum("freight").cast("decimal(38,2)").alias("freight"),
+    )
+    return counted.select("*", _pct("n_late", "n_orders", "pct_late"))
+
+
+def _lines_with_freight(fact: DataFrame, *more: Column) -> DataFrame:
+    return fact.select(
+        "product_id",
+        "order_id",
+        "is_late",
+        F.lit(1).cast("bigint").alias("n_items"),
+        F.col("freight_value").alias("freight"),
+        *more,
+    )
+
+
 def late_by_size(
     fact: DataFrame,
     dim_products: DataFrame,
@@ -263,24 +292,73 @@ def late_by_size(
         band = band.when(F.col(measure) < bound, number)
     band = band.when(F.col(measure).isNotNull(), len(bounds)).alias("band")
     bands = dim_products.select("product_id", band)
+    return _by_band(_attach(_lines_with_freight(fact), bands, "product_id", ["band"], count_on, _BAND_MEASURES))
 
-    measures = {"is_late": F.max, "n_items": F.sum, "freight": F.sum}
-    lines = fact.select(
-        "product_id",
-        "order_id",
-        "is_late",
-        F.lit(1).cast("bigint").alias("n_items"),
-        F.col("freight_value").alias("freight"),
-    )
-    orders = (
-        _attach(lines, bands, "product_id", ["band"], count_on, measures)
-        .groupBy("band", "order_id")
-        .agg(*_fold(measures))
+
+def late_by_quantile(
+    fact: DataFrame,
+    dim_products: DataFrame,
+    measure: str,
+    bands: int = 4,
+    count_on: DataFrame | HotKeys | None = None,
+) -> DataFrame:
+    """Late orders and freight by bands that the data give, with the least and the greatest value of each.
+
+    A product's measure is banded over the products, the fact's freight over its items.
+    """
+    if measure == "freight_value":
+        limits = quantile_bands(fact, measure, bands)
+        lines = _lines_with_freight(fact, F.col("freight_value").alias("value"))
+    else:
+        limits = quantile_bands(dim_products, measure, bands)
+        values = dim_products.select("product_id", F.col(measure).alias("value"))
+        lines = _attach(_lines_with_freight(fact), values, "product_id", ["value"], count_on, _BAND_MEASURES)
+    banded = with_band(lines, "value", limits)
+    return _by_band(banded.withColumns({"least": F.col("value"), "greatest": F.col("value")}))
+
+
+#: Measures whose influence on delays is asked for.
+_SIZES = ("product_volume_cm3", "weight_g", "freight_value")
+
+
+def delay_trend(
+    fact: DataFrame, dim_products: DataFrame, count_on: DataFrame | HotKeys | None = None
+) -> DataFrame:
+    """How the delay of dated items goes with volume, weight and freight: slope in days a unit, and correlations.
+
+    One pass: for each measure the sums of x, y and their products, exact in decimals; a task sends three rows.
+    """
+    lines = fact.select("product_id", "order_id", "is_late", "delay_days", "freight_value")
+    dated = lines.where(F.col("delay_days").isNotNull())
+    kept = {"n": F.sum}
+    folded = dated.withColumn("n", F.lit(1).cast("bigint"))
+    sized = _attach(folded, dim_products, "product_id", list(_SIZES[:2]), count_on, kept)
+    pairs = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("decimal(14,2)").alias("x")) for m in _SIZES])
+    points = sized.select("n", "is_late", "delay_days", F.explode(pairs).alias("p")).select(
+        "p.measure",
+        "p.x",
+        F.col("n").cast("decimal(10,0)").alias("w"),
+        F.col("delay_days").cast("decimal(7,0)").alias("y"),
+        F.col("is_late").cast("int").cast("decimal(1,0)").alias("late"),
     )
-    counted = orders.groupBy("band").agg(
-        _n_orders(),
-        _n_late(),
-        F.sum("n_items").alias("n_items"),
-        F.sum("freight").cast("decimal(38,2)").alias("freight"),
+    products = {
+        "n": F.lit(1), "sx": F.col("x"), "sy": F.col("y"), "sl": F.col("late"), "sxx": F.col("x") * F.col("x"),
+        "sxy": F.col("x") * F.col("y"), "sxl": F.col("x") * F.col("late"), "syy": F.col("y") * F.col("y"),
+    }
+    sums = [F.sum((p * F.col("w")).cast("decimal(38,4)")).cast("double").alias(name) for name, p in products.items()]
+    summed = points.where(F.col("x").isNotNull()).groupBy("measure").agg(*sums)
+
+    def spread(a: str, b: str, ab: str) -> Column:
+        return F.col("n") * F.col(ab) - F.col(a) * F.col(b)
+
+    def ratio(top: Column, bottom: Column, digits: int) -> Column:
+        return F.round(top / F.nullif(bottom, F.lit(0.0)), digits)
+
+    xx, yy, ll = spread("sx", "sx", "sxx"), spread("sy", "sy", "syy"), spread("sl", "sl", "sl")
+    return summed.select(
+        "measure",
+        F.col("n").cast("bigint").alias("n_items"),
+        ratio(spread("sx", "sy", "sxy"), xx, 9).alias("days_per_unit"),
+        ratio(spread("sx", "sy", "sxy"), F.sqrt(xx) * F.sqrt(yy), 9).alias("corr_delay"),
+        ratio(spread("sx", "sl", "sxl"), F.sqrt(xx) * F.sqrt(ll), 9).alias("corr_late"),
     )
-    return counted.select("*", _pct("n_late", "n_orders", "pct_late"))

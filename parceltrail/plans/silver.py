@@ -8,6 +8,7 @@ for that purpose.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -59,7 +60,10 @@ def orders(bronze: DataFrame, run_ts: datetime | None = None) -> DataFrame:
     )
 
 
-def orders_items(bronze: DataFrame, run_ts: datetime | None = None) -> DataFrame:
+def orders_items(
+    bronze: DataFrame, run_ts: datetime | None = None, carried: Sequence[str] = ()
+) -> DataFrame:
+    """``carried`` names columns of the rows that go through as they are; rows of one key must agree on them."""
     typed = bronze.select(
         "order_id",
         "order_item_id",
@@ -69,6 +73,7 @@ def orders_items(bronze: DataFrame, run_ts: datetime | None = None) -> DataFrame
         _amount("price").alias("price"),
         _amount("freight_value").alias("freight_value"),
         F.col("shipping_limit_date").alias("limit_text"),
+        *carried,
     )
     return latest_per_key(typed, ["order_id", "order_item_id"], ["limit_text"]).select(
         *[c for c in typed.columns if c != "limit_text"],
