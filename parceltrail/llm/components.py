@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parceltrail.llm.common import stored
+from parceltrail.llm.common import count_rows, stored
 
 
 def _least(links: DataFrame) -> DataFrame:
@@ -29,12 +33,33 @@ def _contract(links: DataFrame) -> DataFrame:
     return small.distinct()
 
 
-def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """node, component (smallest node that can be reached) of every node in ``links`` (a, b: long).
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node, component of all links of a task, for nodes that are not their component's smallest."""
+    held = [[b.column(c).to_numpy() for c in ("a", "b")] for b in batches if b.num_rows]
+    if held:
+        ends = [np.concatenate(x) for x in zip(*held)]
+        nodes, number = np.unique(np.concatenate(ends), return_inverse=True)
+        root, a, b = np.arange(len(nodes)), *np.split(number, 2)
+        while True:
+            a, b = root[a], root[b]
+            apart = a != b
+            a, b = a[apart], b[apart]
+            if not len(a):
+                break
+            np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+            while (root[root] != root).any():
+                root = root[root]
+        moved = root != np.arange(len(root))
+        found = [pa.array(nodes[moved], pa.int64()), pa.array(nodes[root[moved]], pa.int64())]
+        yield pa.RecordBatch.from_arrays(found, names=["node", "component"])
+
+
+def components(links: DataFrame, most_rounds: int = 60, few: int = 0) -> DataFrame:
+    """node, component (smallest node that can be reached) of every node in ``links`` (a, b: long) but the smallest ones.
 
     Alternating large-star and small-star steps (Kiveris et al., 2014) end in one star for each component
     after a number of rounds that grows with the logarithm of its size. Every round is written to the
-    shared folder; the driver sees a count and a checksum only.
+    shared folder; the driver sees a count and a checksum only. Up to ``few`` links are united in one task instead.
     """
     links = stored(
         links.where(F.col("a") != F.col("b"))
@@ -42,6 +67,8 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         .distinct(),
         "links",
     )
+    if few and count_rows(links) <= few:
+        return links.coalesce(1).mapInArrow(_united, "node long, component long")
     before = None
     for _ in range(most_rounds):
         mark = links.agg(

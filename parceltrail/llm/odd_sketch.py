@@ -50,6 +50,8 @@ WIDE = 4096
 PIECE, WORDS = 1 << 20, 1 << 20
 #: Shingles and documents that are sampled at a time.
 FLAT, DOCS = 1 << 16, 256
+#: So many links are united in one task (16 bytes each).
+FEW = 2_000_000
 #: Members of a bucket in one chunk, rows of a chunk that are compared at a time.
 CHUNK, ROWS = 2048, 64
 
@@ -335,7 +337,7 @@ def _compare(rows: pa.Table, forest: bool) -> pa.Table:
 
 def _open(members: DataFrame, links: DataFrame) -> DataFrame:
     """Members of the buckets that hold several classes of ``links``, with their class; written."""
-    found = components(links).select(F.col("node").alias("_node"), F.col("component").alias("_class"))
+    found = components(links, few=FEW).select(F.col("node").alias("_node"), F.col("component").alias("_class"))
     named = members.join(found, F.col("node") == F.col("_node"), "left")
     named = stored(named.withColumn("class", F.coalesce("_class", "node")).drop("_node", "_class"), "members")
     several = named.groupBy("bucket").agg(F.min("class").alias("least"), F.max("class").alias("most"))
@@ -387,7 +389,7 @@ def classes(documents: DataFrame) -> DataFrame:
     """doc_id, content (a hash of the text), n_shingles, component_id, kept of every row of ``documents``."""
     rows = stored(_sketched(documents), "sketches")
     nodes = _nodes(rows)
-    found = components(links(documents, nodes))
+    found = stored(components(links(documents, nodes), few=FEW), "found")
     named = nodes.select("key", "node", "id").join(found, "node", "left")
     named = stored(named.withColumn("_class", F.coalesce("component", "node")).drop("component"), "classes")
     least = named.groupBy("_class").agg(F.min("id").alias("_least"))

@@ -105,6 +105,15 @@ def test_more_bits_than_blocks_are_refused(spark):
         simhash.links(spark.createDataFrame([(1,)], "fingerprint long"), 4)
 
 
+def test_few_links_are_united_in_one_task(spark):
+    rng = np.random.default_rng(4)
+    links = [tuple(int(x) for x in rng.integers(-200, 200, 2)) for _ in range(150)] + [(i, i + 1) for i in range(1000, 1100)]
+    df = spark.createDataFrame(links, "a long, b long")
+    plain, one = (sorted(map(tuple, components(df, few=few).collect())) for few in (0, 1_000))
+    assert plain == one and one
+    assert components(df.limit(0), few=10).count() == 0
+
+
 def test_components_of_paths_stars_and_repeats(spark):
     path = [(i, i + 1) for i in range(50)]
     star = [(100, 100 + i) for i in range(1, 60)]
