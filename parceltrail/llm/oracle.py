@@ -15,33 +15,49 @@ WITH RECURSIVE docs AS (
   FROM (SELECT *, coalesce(text, '') AS t FROM documents)
 ),
 sums AS (SELECT source, lang, topic, sum(tokens) AS n FROM docs GROUP BY ALL HAVING sum(tokens) > 0),
-s AS (SELECT source, row_number() OVER (ORDER BY sum(n) DESC, source NULLS FIRST) AS at FROM sums GROUP BY source),
-l AS (SELECT lang, row_number() OVER (ORDER BY sum(n) DESC, lang NULLS FIRST) AS at FROM sums GROUP BY lang),
-t AS (SELECT topic, row_number() OVER (ORDER BY sum(n) DESC, topic NULLS FIRST) AS at FROM sums GROUP BY topic),
-cells AS (
-  SELECT least(s.at, 32) AS i, least(l.at, 16) AS j, least(t.at, 5) AS k, CAST(sum(n) AS DOUBLE) AS n
-  FROM sums JOIN s ON sums.source IS NOT DISTINCT FROM s.source
-    JOIN l ON sums.lang IS NOT DISTINCT FROM l.lang JOIN t ON sums.topic = t.topic
-  GROUP BY ALL
+own AS (
+  SELECT (SELECT sum(n) FROM sums) AS total
+),
+gs AS (
+  SELECT source, least(total * power(n, 0.9) / sum(power(n, 0.9)) OVER (), n) AS g
+  FROM (SELECT source, CAST(sum(n) AS DOUBLE) AS n FROM sums GROUP BY source) CROSS JOIN own
+),
+gl AS (
+  SELECT lang, least(total * power(n, 0.9) / sum(power(n, 0.9)) OVER (), n) AS g
+  FROM (SELECT lang, CAST(sum(n) AS DOUBLE) AS n FROM sums GROUP BY lang) CROSS JOIN own
+),
+gt AS (
+  SELECT topic, least(total * power(n, 0.9) / sum(power(n, 0.9)) OVER (), n) AS g
+  FROM (SELECT topic, CAST(sum(n) AS DOUBLE) AS n FROM sums GROUP BY topic) CROSS JOIN own
+),
+common AS (
+  SELECT least((SELECT sum(g) FROM gs), (SELECT sum(g) FROM gl), (SELECT sum(g) FROM gt)) AS goal
 ),
-gi AS (SELECT i, power(sum(n), 0.9) / sum(power(sum(n), 0.9)) OVER () AS g FROM cells GROUP BY i),
-gj AS (SELECT j, power(sum(n), 0.9) / sum(power(sum(n), 0.9)) OVER () AS g FROM cells GROUP BY j),
-gk AS (SELECT k, power(sum(n), 0.9) / sum(power(sum(n), 0.9)) OVER () AS g FROM cells GROUP BY k),
 fit AS (
-  SELECT 0 AS r, i, j, k, n, gi.g AS a, gj.g AS b, gk.g AS c, n AS w
-  FROM cells JOIN gi USING (i) JOIN gj USING (j) JOIN gk USING (k)
+  SELECT 0 AS r, sums.source, sums.lang, sums.topic, CAST(n AS DOUBLE) AS n,
+    gs.g * goal / (SELECT sum(g) FROM gs) AS a, gl.g * goal / (SELECT sum(g) FROM gl) AS b,
+    gt.g * goal / (SELECT sum(g) FROM gt) AS c, CAST(n AS DOUBLE) AS w
+  FROM sums JOIN gs ON gs.source IS NOT DISTINCT FROM sums.source
+    JOIN gl ON gl.lang IS NOT DISTINCT FROM sums.lang JOIN gt USING (topic) CROSS JOIN common
   UNION ALL
-  SELECT r + 1, i, j, k, n, a, b, c, w * c / sum(w) OVER (PARTITION BY k)
-  FROM (SELECT * REPLACE (w * b / sum(w) OVER (PARTITION BY j) AS w)
-        FROM (SELECT * REPLACE (w * a / sum(w) OVER (PARTITION BY i) AS w) FROM fit WHERE r < 30))
-),
-rates AS (SELECT i, j, k, (w / n) / max(w / n) OVER () AS p FROM fit WHERE r = 30),
+  SELECT r + 1, source, lang, topic, n, a, b, c, least(n, coalesce(w * c / nullif(sum(w) OVER (PARTITION BY topic), 0), 0))
+  FROM (SELECT * REPLACE (least(n, coalesce(w * b / nullif(sum(w) OVER (PARTITION BY lang), 0), 0)) AS w)
+        FROM (SELECT * REPLACE (least(n, coalesce(w * a / nullif(sum(w) OVER (PARTITION BY source), 0), 0)) AS w)
+              FROM fit WHERE r < 200))
+),
+looks AS (SELECT * FROM fit WHERE r > 0 AND r % 10 = 0),
+worst AS (
+  SELECT r, max(miss) AS miss FROM (
+    SELECT r, abs(sum(w) / nullif(any_value(a), 0) - 1) AS miss FROM looks GROUP BY r, source
+    UNION ALL SELECT r, abs(sum(w) / nullif(any_value(b), 0) - 1) FROM looks GROUP BY r, lang
+    UNION ALL SELECT r, abs(sum(w) / nullif(any_value(c), 0) - 1) FROM looks GROUP BY r, topic)
+  GROUP BY r
+),
+ended AS (SELECT min(r) AS r FROM worst WHERE miss <= 1e-4 OR r = 200),
 rated AS (
-  SELECT doc_id, docs.source, docs.lang, docs.topic, tokens, coalesce(p, 1.0) AS p
-  FROM docs LEFT JOIN s ON docs.source IS NOT DISTINCT FROM s.source
-    LEFT JOIN l ON docs.lang IS NOT DISTINCT FROM l.lang LEFT JOIN t ON docs.topic = t.topic
-    LEFT JOIN rates ON rates.i = least(coalesce(s.at, 32), 32) AND rates.j = least(coalesce(l.at, 16), 16)
-      AND rates.k = least(coalesce(t.at, 5), 5)
+  SELECT doc_id, docs.source, docs.lang, docs.topic, tokens, coalesce(w / n, 1.0) AS p
+  FROM docs LEFT JOIN fit ON r = (SELECT r FROM ended) AND docs.source IS NOT DISTINCT FROM fit.source
+    AND docs.lang IS NOT DISTINCT FROM fit.lang AND docs.topic = fit.topic
 )
 SELECT doc_id, source, lang, topic, tokens, round(p, 6) AS probability,
   CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13)) AS BIGINT) / 4503599627370496.0 < p AS kept

@@ -33,7 +33,7 @@ def test_raking_meets_all_marginals(documents):
     assert found.probability.max() == 1 and (found.probability[found.lang.isna()] == 0).all()
 
 
-def test_small_categories_fold_into_the_last(documents):
+def test_documents_of_a_cell_share_a_probability(documents):
     rows = [(i, prose(i, 20), "en", f"s{i % 50}") for i in range(300)]
     found = mixing.mix(documents(rows)).toPandas()
     per_source = found.groupby("source").probability.nunique()
@@ -50,8 +50,10 @@ def test_every_source_and_language_meets_its_own_target(documents, monkeypatch,
         for i in range(1500)
     ]
     df = documents(rows)
-    found = mixing.mix(df).toPandas()
+    # At half of the tokens no category is short of them.
+    found = mixing.mix(df, rate=0.5, most_miss=1e-8).toPandas()
     found["weight"] = found.tokens * found.probability
+    assert found.weight.sum() == pytest.approx(0.5 * found.tokens.sum(), rel=1e-6)
     for name in ("source", "lang"):
         sums = found.groupby(name, dropna=False)[["tokens", "weight"]].sum()
         goal = sums.tokens**mixing.ALPHA
@@ -65,6 +67,77 @@ def test_every_source_and_language_meets_its_own_target(documents, monkeypatch,
         assert np.allclose(weight / weight.sum(), [goal[n] / sum(goal.values()) for n in weight.index], rtol=1e-6)
 
 
+def kept_share(found):
+    return (found.tokens * found.probability).sum() / found.tokens.sum()
+
+
+def test_a_stray_document_does_not_lower_the_others(spark):
+    """40,000 documents of equal sources and languages, then one more of another language, or of none."""
+    text = F.concat(F.lit("word "), F.repeat(F.lit("abc "), (F.col("id") % 37 + 1).cast("int")))
+    plain = spark.range(40_000).select(
+        F.col("id").alias("doc_id"),
+        text.alias("text"),
+        F.concat(F.lit("l"), F.col("id") % 4).alias("lang"),
+        F.concat(F.lit("s"), F.floor(F.col("id") / 4) % 20).alias("source"),
+    )
+    stray = spark.createDataFrame([(-1, "one stray text", None, "s0")], plain.schema)
+    before, after = (mixing.mix(df).toPandas() for df in (plain, plain.union(stray)))
+    assert kept_share(before) > 0.98
+    assert abs(kept_share(before) - kept_share(after)) < 0.01
+    assert after.probability[after.doc_id == -1].item() == pytest.approx(1, abs=1e-3)
+
+
+@pytest.mark.parametrize("cells", [mixing.CELLS, 10])
+def test_clipped_cells_are_made_up_for(documents, monkeypatch, cells):
+    """A dominant and rare categories: none above its tokens, all goals met or missed as far as reported."""
+    monkeypatch.setattr(mixing, "CELLS", cells)
+    rng = random.Random(3)
+    rows = [
+        (i, prose(i, rng.randint(5, 60)) + rng.choice(["", "", " @"]), "en" if i % 5 else rng.choice(["fr", "de"]),
+         "hot" if rng.random() < 0.6 else f"s{min(rng.randrange(8), rng.randrange(8))}")
+        for i in range(400)
+    ]
+    df = documents(rows)
+    found = mixing.mix(df).toPandas()
+    assert found.probability.max() <= 1 and found.probability.min() > 0
+    raked = mixing.raked_cells(df)
+    report = mixing.misses(raked).toPandas()
+    found["weight"] = found.tokens * found.probability
+    assert found.weight.sum() == pytest.approx(report.weight[report.dimension == "topic"].sum())
+    for r in report.itertuples():
+        assert found.weight[found[r.dimension] == r.category].sum() == pytest.approx(r.weight)
+    assert report.miss.max() < 0.02
+    # Dominant categories are lowered, rare ones kept almost whole.
+    per = found.groupby("source")[["weight", "tokens"]].sum()
+    factor = per.weight / per.tokens
+    assert factor["hot"] == factor.min() and factor.max() > 0.97
+
+
+def test_targets_may_name_rows_without_a_value(documents):
+    rows = [(i, prose(i, 20), [None, "en", "fr"][i % 3], "a") for i in range(60)]
+    found = mixing.mix(documents(rows), targets={"lang": {None: 1, "en": 1}}).toPandas()
+    weight = (found.tokens * found.probability).groupby(found.lang.fillna("none")).sum()
+    assert weight["fr"] == 0 and weight["none"] == pytest.approx(weight["en"])
+
+
+def test_sql_rakes_sixty_sources_alike(spark, documents, tmp_path):
+    import duckdb
+
+    from parceltrail.llm import queries
+    from tests.compare import differences
+
+    rng = random.Random(11)
+    rows = [
+        (i, prose(i, rng.randint(5, 80)) + rng.choice(["", " @", " | "]), rng.choice(["en", "en", "fr", None, f"l{i % 17}"]),
+         f"s{min(rng.randrange(60), rng.randrange(60))}")
+        for i in range(700)
+    ]
+    documents(rows).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert differences(queries.op1_mix_sources(spark, str(tmp_path)), con, queries.ORACLE["op1_mix_sources"]) is None
+
+
 def test_mixing_awkward_rows(documents, awkward):
     df = documents(awkward, "topic tokens probability _document _id n")
     found = mixing.mix(df).collect()
