@@ -42,6 +42,15 @@ def id_crc(doc_id: str | Column = "doc_id") -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary"))
 
 
+def drawn(documents: DataFrame, share: float | Column, salt: int) -> DataFrame:
+    """doc_id, text (and lang, if there) of a share of the rows, drawn by a hash of id and text; equal rows are one.
+
+    So the sample is as large as asked at most, whatever ids rows share or lack and however often one is repeated.
+    """
+    place = F.pmod(F.xxhash64(F.lit(salt), "doc_id", "text"), F.lit(1 << 24)) / float(1 << 24)
+    return documents.where(place < share).dropDuplicates([c for c in ("doc_id", "lang", "text") if c in documents.columns])
+
+
 def text_bytes(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     """Texts of a batch as UTF-8 bytes; missing texts are empty."""
     values = batch.column(column).cast(pa.binary()).to_pylist()

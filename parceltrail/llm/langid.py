@@ -9,17 +9,18 @@ n-grams). Members are the sampled texts and their beginnings, so that short leng
 is taken to the centroid without it. Where a centroid has few members of a length, its language's count.
 
 Document frequencies are counted over all training documents; only the k-means sample is bounded, at about
-SAMPLE documents a language (each is drawn by a hash of its id). The driver sees the centroids and one
+SAMPLE documents a language (each is drawn by a hash of its id and text, equal rows are one). The driver sees the centroids and one
 frequency for each of the DIMS features, nothing else.
 
 Defined cases: a missing text, or one without a letter, is `und` with score 0 and is rejected; empty texts
 have no letter; equal cosines go to the language first in the alphabet; repeated rows are counted and
-predicted like any other; a missing lang is no label; with no labelled row at all everything is `und`;
-further columns are kept by ``classify`` and don't matter.
+predicted like any other; a missing lang is no label; with no labelled row at all everything is `und`; a long text is worked on
+in slices, with a few bytes of memory for each of its bytes; an empty table gives no rows; further columns are kept by ``classify`` and don't matter.
 """
 
 from __future__ import annotations
 
+from codecs import getincrementaldecoder
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parceltrail.llm.common import free, id_crc, with_columns
+from parceltrail.llm.common import drawn, free, id_crc, with_columns
 
 DIMS = 4096
 CLUSTERS = 4
@@ -42,6 +43,8 @@ LENGTHS, MEMBERS = 13, 30
 STARTS = (8, 16, 32, 64, 128, 256, 512, 1024, 2048)
 #: Texts are worked on in groups of about so many bytes and at most so many rows.
 GROUP_BYTES, GROUP_ROWS = 1 << 20, 512
+#: Bytes of a group whose n-grams are worked out at a time; a longer text is a group of its own.
+SLICE = 1 << 20
 UNKNOWN = "und"
 
 #: ASCII letters in lower case; other ASCII becomes a blank; bytes of longer characters stay.
@@ -52,20 +55,22 @@ _FOLD = bytes(
 
 def features(texts: list[bytes]) -> np.ndarray:
     """Counts of hashed 2- and 3-grams: one row of DIMS for each text; n-grams don't cross texts."""
-    joined = np.frombuffer(b"  ".join([b"", *(t.translate(_FOLD) for t in texts), b""]), dtype=np.uint8).astype(np.uint32)
-    lengths = np.array([len(t) + 2 for t in texts], dtype=np.int64)
+    if not texts:
+        return np.zeros((0, DIMS), dtype=np.int64)
+    joined = np.frombuffer(b"  ".join([b"", *(t.translate(_FOLD) for t in texts), b" "]), dtype=np.uint8)
+    ends = np.cumsum([len(t) + 2 for t in texts])
+    flat = np.zeros(len(texts) * DIMS, dtype=np.int64)
     # A text's n-grams start at the blank before it, so that starts and ends of words count.
-    row = np.repeat(np.arange(len(texts), dtype=np.int64), lengths)
-    at = np.arange(1, 1 + len(row))
-    joined = np.append(joined, 32).astype(np.uint32)
-    two = joined[at] | (joined[at + 1] << np.uint32(8))
-    three = two | (joined[np.minimum(at + 2, len(joined) - 1)] << np.uint32(16)) | np.uint32(1 << 24)
-    blank = (joined[at] == 32) & (joined[at + 1] == 32)
-    ends = np.cumsum(lengths)
-    blank[ends - 1] = True
-    row, two, three = row[~blank], two[~blank], three[~blank]
-    places = [row * DIMS + ((g * np.uint32(2654435761)) >> np.uint32(20)).astype(np.int64) for g in (two, three)]
-    flat = np.bincount(np.concatenate(places), minlength=len(texts) * DIMS)
+    for a in range(0, ends[-1], SLICE):
+        at = np.arange(a, min(a + SLICE, ends[-1]))
+        row = np.searchsorted(ends, at, side="right")
+        one, next_one, third = (joined[np.minimum(at + i, len(joined) - 1)].astype(np.uint32) for i in (1, 2, 3))
+        two = one | (next_one << np.uint32(8))
+        three = two | (third << np.uint32(16)) | np.uint32(1 << 24)
+        some = ~((one == 32) & (next_one == 32)) & (at != ends[row] - 1)
+        for grams in (two[some], three[some]):
+            place = ((grams * np.uint32(2654435761)) >> np.uint32(20)).astype(np.int64)
+            flat += np.bincount(row[some] * DIMS + place, minlength=len(flat))
     return flat.reshape(len(texts), DIMS)
 
 
@@ -93,7 +98,8 @@ def vectors(texts: list[bytes], idf: np.ndarray) -> np.ndarray:
 
 
 def has_letter(text: bytes) -> bool:
-    return any(map(str.isalpha, text.decode("utf-8", "replace")))
+    decoder = getincrementaldecoder("utf-8")("replace")
+    return any(any(map(str.isalpha, decoder.decode(text[a : a + SLICE]))) for a in range(0, len(text), SLICE))
 
 
 @dataclass
@@ -220,8 +226,7 @@ def train(documents: DataFrame, clusters: int = CLUSTERS, sample: int = SAMPLE)
     # As many counts as languages; as literals they make the draw a filter of the scan, before any shuffle.
     counts = training.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
     share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], sample / r["n"])])
-    draw = F.pmod(F.xxhash64(F.lit(17), "doc_id"), F.lit(1 << 20)) / float(1 << 20)
-    drawn = training.where(draw < share[F.col("lang")]).select("lang", "text")
+    some = drawn(training, share[F.col("lang")], 17).select("lang", "text")
 
     def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         texts = [t.encode() for t in rows["text"].fillna("").sort_values()]
@@ -234,7 +239,7 @@ def train(documents: DataFrame, clusters: int = CLUSTERS, sample: int = SAMPLE)
         least = _bounds(texts, points, centres, own, idf)
         return pd.DataFrame({"lang": key[0], "least": least.tolist(), "centroid": [c.tolist() for c in centres]})
 
-    fitted = drawn.groupBy("lang").applyInPandas(fit, "lang string, least array<double>, centroid array<float>")
+    fitted = some.groupBy("lang").applyInPandas(fit, "lang string, least array<double>, centroid array<float>")
     rows = sorted(fitted.collect(), key=lambda r: (r["lang"], list(r["centroid"])))  # CLUSTERS rows a language
     return Model(
         [r["lang"] for r in rows],

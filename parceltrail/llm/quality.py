@@ -10,7 +10,7 @@ positive, the densities' ratio is the prior, so the prior is the median of (1 -
 was not fitted on.
 
 Both are fitted on a bounded sample, POSITIVES and UNLABELLED documents at most in expectation, each drawn by
-a hash of its id; all texts are scored, whole. Scores depend on the text only: shares of characters, word
+a hash of its id (and text, if unlabelled; equal rows are one); all texts are scored, whole. Scores depend on the text only: shares of characters, word
 lengths, repeated words and lines.
 
 Defined cases: a missing text is empty; empty texts have a score like any other, that of no words; a row or label without
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parceltrail.llm.common import count_rows, id_crc, stored, text_bytes, with_columns
+from parceltrail.llm.common import count_rows, drawn, id_crc, stored, text_bytes, with_columns
 
 POSITIVES, UNLABELLED = 8000, 16000
 THRESHOLD = 0.3
@@ -203,14 +203,13 @@ def train(
     training = documents.where(~held_out()).select("doc_id", "text")
     trusted = labels.where((F.col("quality") == 1) & ~held_out()).select("doc_id").dropna().distinct()
 
-    def draw(salt: int) -> Column:
-        return F.pmod(F.xxhash64(F.lit(salt), "doc_id"), F.lit(1 << 24)) / float(1 << 24)
-
-    # About ``positives`` ids, so they can be broadcast.
+    # About ``positives`` ids, so they can be broadcast; of the texts that share an id one is taken.
+    place = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(1 << 24)) / float(1 << 24)
     share = positives / max(count_rows(trusted), 1)
-    ids = stored(trusted.where(draw(3) < share).select(F.col("doc_id").alias("_id")), "trusted")
-    p = _feature_rows(training.join(F.broadcast(ids), F.col("doc_id") == F.col("_id"), "left_semi"))
-    u = _feature_rows(training.where(draw(4) < unlabelled / max(count_rows(training.select("doc_id")), 1)))
+    ids = stored(trusted.where(place < share).select(F.col("doc_id").alias("_id")), "trusted")
+    marked = training.join(F.broadcast(ids), F.col("doc_id") == F.col("_id"), "left_semi")
+    p = _feature_rows(marked.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text")))
+    u = _feature_rows(drawn(training, unlabelled / max(count_rows(training.select("doc_id")), 1), 4))
     if not len(p) or not len(u):
         return Model(None, np.zeros(FEATURES), np.ones(FEATURES), 0.5)
     both = np.concatenate([p, u])
