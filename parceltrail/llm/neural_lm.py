@@ -112,6 +112,10 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
         if room < 0:
             least = row["c"] + 1
             break
+    else:
+        if len(sizes) == HEAD:
+            # There are more counts than were listed, each of at least one word.
+            least = sizes[-1]["c"]
     rows = counts.where(F.col("c") >= least).collect()  # at most HEAD rows
     rows = sorted(((bytes(r["word"]), r["c"]) for r in rows), key=lambda r: (-r[1], r[0]))
     return Vocabulary(

@@ -178,3 +178,37 @@ def test_language_model_without_training_text(documents):
     assert {(r.train_tokens, r.n_known, r.base_score) for r in found} == {(0, 0, 0.0)}
     assert all(r.score == pytest.approx(0, abs=1e-6) for r in found)
     assert neural_lm.digest(documents([])).count() == 0
+
+
+def test_the_head_is_bounded_when_every_count_is_one_words(documents, monkeypatch):
+    monkeypatch.setattr(neural_lm, "HEAD", 4)
+    text = " ".join(f"w{i} " * (i + 1) for i in range(30))
+    found = neural_lm.vocabulary(neural_lm.count_words(documents([(1, text)])))
+    assert list(found.head) == [b"w29", b"w28", b"w27", b"w26"]
+    assert found.distinct == 31 and found.tokens == sum(range(1, 31)) + 1
+
+
+def test_features_of_long_texts_are_worked_out_in_slices(monkeypatch):
+    texts = [b"", b"a", "Ein l\u00e4ngerer Satz, 42 W\u00f6rter".encode(), b"  two  blanks ", prose(1, 200).encode()]
+    whole = langid.features(texts)
+    assert whole.shape == (5, langid.DIMS) and whole[0].sum() == 0
+    # Each n-gram of the padded, folded text that does not begin with two blanks counts once.
+    padded = b" " + texts[1] + b"  "
+    assert whole[1].sum() == 2 * sum(padded[i : i + 2] != b"  " for i in range(len(texts[1]) + 1))
+    for size in (1, 3, 64):
+        monkeypatch.setattr(langid, "SLICE", size)
+        assert (langid.features(texts) == whole).all()
+        assert [langid.has_letter(t) for t in (b"", b"42", "4 \u00e4".encode(), b"1 b")] == [False, False, True, True]
+
+
+def test_shared_and_missing_ids_leave_the_sample_bounded(documents):
+    """A repeated row is drawn once; rows that share an id, or have none, are drawn each by its text."""
+    from parceltrail.llm.common import drawn
+
+    rows = [(1, "same text")] * 3000 + [(2, f"text {i}") for i in range(2000)] + [(None, f"none {i}") for i in range(2000)]
+    df = documents(rows).select("doc_id", "text")
+    some = drawn(df, 0.1, 3).toPandas()
+    assert len(some) == len(some.drop_duplicates())
+    assert all(130 < n < 270 for n in (some.text.str.startswith(k).sum() for k in ("text", "none")))
+    everything = drawn(df, 1.0, 3)
+    assert everything.count() == 4001
