@@ -11,8 +11,8 @@ Queries meet forests in pairs of bounded blocks, so a task holds one block of ei
 
 Defined cases: vectors that are missing, empty, zero or hold a missing or non-finite component take no part, nor do
 rows without an id; vectors meet those of their own length only; a query's own row is its own id, so repeated
-ids don't find each other; equal vectors always share a leaf, and ties go to the smaller id; blocks of at
-most LEAST rows are searched whole; an empty table, or one without queries, gives no rows; further columns don't
+ids don't find each other; equal vectors always share a leaf, and ties go to the smaller id; of a block of at most 4 * K rows
+all are ranked; an empty table, or one without queries, gives no rows; further columns don't
 matter.
 """
 
@@ -32,8 +32,8 @@ from parceltrail.llm.vectors import clean, merged
 EVERY, K = 100, 10
 ROWS, QUERIES = 8192, 1024
 TREES, LEAF = 32, 64
-#: Rows of a block that a query ranks exactly: this share, and at least so many.
-BUDGET, LEAST = 0.4, 1024
+#: Rows of a block that a query ranks exactly: this share; in small blocks so many, but no more than a share of them.
+BUDGET, LEAST, MOST = 0.4, 1024, 0.75
 
 
 class Forest:
@@ -107,7 +107,7 @@ class Forest:
     def search(self, vectors, ids, queries, query_ids, k: int, budget: float = BUDGET, least: int = LEAST):
         """(query, vector, distance) of the k nearest candidates for every query."""
         found = []
-        enough = max(least, int(budget * len(vectors)))
+        enough = max(4 * k, int(budget * len(vectors)), min(least, int(MOST * len(vectors))))
         everything = np.arange(len(vectors))
         normals = np.array(self.normals).reshape(len(self.normals), vectors.shape[1])
         for a in range(0, len(queries), 64):
@@ -138,7 +138,7 @@ def build(vectors: DataFrame, blocks: int, trees: int = TREES, leaf: int = LEAF)
 
 def nearest(
     embeddings: DataFrame, every: int = EVERY, k: int = K, rows: int = ROWS, queries: int = QUERIES,
-    budget: float = BUDGET,
+    budget: float = BUDGET, least: int = LEAST,
 ) -> DataFrame:
     """query_id, rank, vec_id, score (distance) for the rows whose id is divisible by ``every``."""
     some = F.exists("embedding", lambda x: x != 0)
@@ -158,7 +158,7 @@ def nearest(
         found = []
         if len(forest) and len(wanted):
             x, ids, trees = pickle.loads(forest["body"].iloc[0])
-            found = trees.search(x, ids, np.stack(wanted["v"]), wanted["vec_id"].to_numpy(np.int64), k, budget)
+            found = trees.search(x, ids, np.stack(wanted["v"]), wanted["vec_id"].to_numpy(np.int64), k, budget, least)
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
     key = ["dims", "block", "query_block"]
